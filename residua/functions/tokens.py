@@ -96,3 +96,9 @@ def attention_mask(real: Column, max_length: int) -> Column:
     return F.concat(
         F.array_repeat(F.lit(1), real), F.array_repeat(F.lit(0), F.lit(max_length) - real)
     )
+
+
+def real_length(mask: Column) -> Column:
+    """Tokens in front of the padding: where the first zero of a mask is."""
+    first_pad = F.array_position(mask, 0).cast("int")
+    return F.when(first_pad == 0, F.size(mask)).otherwise(first_pad - 1)

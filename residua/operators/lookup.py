@@ -34,7 +34,11 @@ def with_global_index(shards: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def locate(
-    requests: DataFrame, index: DataFrame, bin_size: int | None = None, idx_col: str = "idx"
+    requests: DataFrame,
+    index: DataFrame,
+    bin_size: int | None = None,
+    idx_col: str = "idx",
+    distinct: bool = False,
 ) -> DataFrame:
     """Adds ``file_name`` and ``local_row``; both NULL for a position out of range.
 
@@ -56,7 +60,7 @@ def locate(
         ranges = F.broadcast(binned.withColumnRenamed("_bin", "_range_bin"))
         found = asked.join(ranges, (F.col("_bin") == F.col("_range_bin")) & inside, "left")
     else:
-        found = skew_safe_join(asked, binned, ["_bin"], "left", inside)
+        found = skew_safe_join(asked, binned, ["_bin"], "left", inside, distinct)
     row = (F.col(idx_col) - F.col("start_line")).alias("local_row")
     return found.select(*requests.columns, "file_name", row)
 
@@ -81,21 +85,23 @@ def lookup_positions(
     strategy: str = "dense",
     idx_col: str = "idx",
     strict: bool = False,
+    distinct: bool = False,
 ) -> DataFrame:
     """Every request with its sample's columns.
 
     ``dense`` numbers all rows and joins on the number: for requests that touch much
     of the data. ``binned`` first resolves requests to file and row, then opens only
     the shards that are asked for. A position out of range gives NULLs, or with
-    ``strict`` fails the job.
+    ``strict`` fails the job. ``distinct`` says that no two requests are equal in all
+    columns, which saves a shuffle of them.
     """
     sample = [c for c in shards.columns if c not in ("file_name", "row_index")]
     if strategy == "dense":
         rows = with_global_index(shards, index).withColumnRenamed("global_idx", idx_col)
         rows = rows.select(idx_col, *sample, F.lit(True).alias("_found"))
-        joined = fetch(requests, rows, [idx_col])
+        joined = fetch(requests, rows, [idx_col], distinct)
     elif strategy == "binned":
-        located = locate(requests, index, idx_col=idx_col)
+        located = locate(requests, index, idx_col=idx_col, distinct=distinct)
         rows = shards.withColumnRenamed("row_index", "local_row").select(
             "file_name", "local_row", *sample, F.lit(True).alias("_found")
         )
@@ -103,18 +109,22 @@ def lookup_positions(
         if is_small(names, NAMED_FILES):
             wanted = [r.file_name for r in names.limit(NAMED_FILES).collect()]
             rows = rows.where(F.col("file_name").isin(wanted))
-        joined = fetch(located, rows, ["file_name", "local_row"])
+        joined = fetch(located, rows, ["file_name", "local_row"], distinct)
     else:
         raise ValueError(f"strategy must be 'dense' or 'binned', got {strategy!r}")
     return _finish(joined, requests.columns, sample, idx_col, strict)
 
 
 def lookup_keys(
-    requests: DataFrame, items: DataFrame, key: str = "sequence_id", strict: bool = False
+    requests: DataFrame,
+    items: DataFrame,
+    key: str = "sequence_id",
+    strict: bool = False,
+    distinct: bool = False,
 ) -> DataFrame:
     """Every request with the item stored under its key."""
     rows = items.withColumn("_found", F.lit(True))
-    joined = fetch(requests, rows, [key])
+    joined = fetch(requests, rows, [key], distinct)
     return _finish(joined, requests.columns, items.columns, key, strict)
 
 

@@ -55,5 +55,4 @@ def tokenize_with(
 
 def token_counts(df: DataFrame) -> DataFrame:
     """Adds ``real_tokens``, the exact count behind the padded length."""
-    real = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)
-    return df.withColumn("real_tokens", real)
+    return df.withColumn("real_tokens", tokens.real_length(F.col("attention_mask")))

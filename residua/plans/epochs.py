@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tokens import attention_mask
+from ..functions.tokens import attention_mask, real_length
 from ..functions.vocabulary import ESM2, Vocabulary
 from ..operators.masking import mask_tokens
 from ..operators.sampler import epoch_assignment
@@ -22,16 +22,14 @@ def epoch_samples(
 ) -> DataFrame:
     """Every sample of the epoch with rank, batch, corrupted ids, mask and labels.
 
-    Only the id and the token ids go through the shuffle; the mask follows from the
-    padding, and masking runs on the far side.
+    Only the id, the token ids and the real length go through the shuffle; the
+    attention mask follows from the length, and masking runs on the far side.
     """
-    narrow = samples.select(id_col, "input_ids")
+    length = real_length(F.col("attention_mask")).alias("_length")
+    narrow = samples.select(id_col, "input_ids", length)
     placed = epoch_assignment(narrow, world_size, batch_size, seed, epoch, id_col=id_col)
-    pads = F.filter("input_ids", lambda x: x == vocab.pad_id)
-    masked = mask_tokens(
-        placed.withColumn("attention_mask", attention_mask(F.lit(max_length) - F.size(pads), max_length)),
-        id_col, probability, seed, epoch, vocab,
-    )
+    rebuilt = placed.withColumn("attention_mask", attention_mask(F.col("_length"), max_length))
+    masked = mask_tokens(rebuilt.drop("_length"), id_col, probability, seed, epoch, vocab)
     return masked.withColumn("epoch", F.lit(epoch))
 
 

@@ -1,6 +1,7 @@
 """Joins that hold when a side is large or a key is hot."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ HOT_SHARE = 1000
 # Below this many rows per key a hot key is no trouble.
 HOT_ROWS = 100_000
 
+# Rows without a key match nothing, so they can go anywhere: over this many parts.
+NULL_PARTS = 1024
+
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no further than that."""
@@ -26,51 +30,59 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataF
     return (F.broadcast(df) if small else df), small
 
 
-def hot_keys(
-    weighted: DataFrame, keys: Sequence[str], weight: str, hot_rows: int, hot_share: int
-) -> DataFrame:
-    """Keys that weigh more than ``hot_rows`` and more than 1 in ``hot_share`` of all.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, hot_share: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and more than 1 in ``hot_share`` of all.
 
-    ``_parts`` is the number of pieces of about ``hot_rows`` each.
+    ``_parts`` is the number of pieces of about ``hot_rows`` rows each. Rows are counted
+    before the shuffle, so finding the hot keys has no hot task of its own.
     """
-    total = weighted.agg(F.sum(weight)).scalar()
-    sums = weighted.groupBy(*keys).agg(F.sum(weight).alias("_n"))
+    total = df.agg(F.count("*")).scalar()
+    sums = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     return sums.where((F.col("_n") > hot_rows) & (F.col("_n") * hot_share > total)).select(
         *keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")
     )
 
 
+def _without_copies(df: DataFrame, hot_rows: int) -> DataFrame:
+    """Equal rows once, with ``_copies``; more than ``hot_rows`` of them in chunks."""
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    chunks = F.ceil(F.col("_copies") / hot_rows).cast("int")
+    rest = F.col("_copies") - F.col("_chunk") * F.lit(hot_rows)
+    return counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).withColumn(
+        "_copies", F.least(F.lit(hot_rows).cast("bigint"), rest).cast("int")
+    )
+
+
 def skew_safe_join(
     many: DataFrame,
     other: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
     condition: Column | None = None,
+    distinct: bool = False,
     hot_rows: int = HOT_ROWS,
     hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Equi-join in which a key of ``many`` may hold any share of its rows.
 
-    Equal rows of ``many`` are counted before the shuffle, in chunks of ``hot_rows``,
-    and restored after the join. A hot key is cut into parts by a hash of row and
-    chunk, and only the rows of ``other`` with a hot key are copied to every part.
-    ``condition`` is a further test on the columns of both sides.
+    A hot key is cut into parts by a hash of the row, and only the rows of ``other``
+    with a hot key are copied to every part; rows without a key are spread. Equal rows would hash alike, so they are
+    counted before the shuffle and restored after the join; ``distinct`` says that
+    ``many`` has none. ``condition`` is a further test on the columns of both sides.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
-    counted = many.groupBy(*many.columns).agg(F.count("*").alias("_copies"))
-    chunk_count = F.ceil(F.col("_copies") / hot_rows).cast("int")
-    chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunk_count - 1)))
-    left_over = F.col("_copies") - F.col("_chunk") * F.lit(hot_rows)
-    chunks = chunks.withColumn("_copies", F.least(F.lit(hot_rows).cast("bigint"), left_over))
-
-    hot = F.broadcast(hot_keys(chunks, keys, "_copies", hot_rows, hot_share))
-    spot = F.pmod(F.xxhash64(*many.columns, "_chunk"), F.col("_parts"))
-    left = chunks.join(hot, list(keys), "left").withColumn(
-        "_part", F.coalesce(spot, F.lit(0)).cast("int")
-    )
-    parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-    right = other.join(hot, list(keys), "left").withColumn("_other_part", F.explode(parts))
+    keys = list(keys)
+    hot = F.broadcast(hot_keys(many, keys, hot_rows, hot_share))
+    rows, row = many, [*many.columns]
+    if not distinct:
+        rows, row = _without_copies(many, hot_rows), [*many.columns, "_chunk"]
+    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    parts = F.when(keyless, F.lit(NULL_PARTS)).otherwise(F.coalesce(F.col("_parts"), F.lit(1)))
+    spot = F.pmod(F.xxhash64(*row), parts).cast("int")
+    left = rows.join(hot, keys, "left").withColumn("_part", spot)
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    right = other.join(hot, keys, "left").withColumn("_other_part", F.explode(copies))
     renamed = {k: f"_other_{k}" for k in keys}
     right = right.drop("_parts").withColumnsRenamed(renamed)
 
@@ -79,22 +91,21 @@ def skew_safe_join(
         match &= F.col(key) == F.col(other_key)
     if condition is not None:
         match &= condition
-    copies = F.array_repeat(F.lit(0), F.col("_copies").cast("int"))
-    kept = [c for c in other.columns if c not in keys]
-    return (
-        left.join(right, match, how)
-        .withColumn("_copy", F.explode(copies))
-        .select(*many.columns, *kept)
-    )
+    joined = left.join(right, match, how)
+    if not distinct:
+        joined = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))))
+    return joined.select(*many.columns, *[c for c in other.columns if c not in keys])
 
 
-def fetch(requests: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def fetch(
+    requests: DataFrame, rows: DataFrame, keys: Sequence[str], distinct: bool = False
+) -> DataFrame:
     """Left join of requests to rows that are unique by ``keys``.
 
     Few requests are sent to the rows, so that only hits are shuffled; many meet the
     rows in a shuffle that survives hot keys.
     """
     if not is_small(requests):
-        return skew_safe_join(requests, rows, keys, "left")
+        return skew_safe_join(requests, rows, keys, "left", distinct=distinct)
     wanted = F.broadcast(requests.select(*keys).distinct())
     return requests.join(rows.join(wanted, list(keys), "left_semi"), list(keys), "left")

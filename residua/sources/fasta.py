@@ -8,9 +8,11 @@ def record_text(spark: SparkSession, path) -> DataFrame:
     """Raw records: the scan itself splits at a line break followed by ``>``.
 
     A record that crosses a file split is read whole by the task in whose split
-    it starts, so plain files parallelise. Gzip files are one task each.
+    it starts, so plain files parallelise. Gzip files are one task each. Blank lines
+    before a file's first header are dropped.
     """
-    return spark.read.option("lineSep", "\n>").text(path).where(F.col("value") != "")
+    records = spark.read.option("lineSep", "\n>").text(path)
+    return records.where(F.btrim("value", F.lit("\r\n")) != "")
 
 
 def record_id(value: Column) -> Column:

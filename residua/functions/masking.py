@@ -21,41 +21,45 @@ def _below(draw: Column, share: Fraction) -> Column:
     return draw.bitwiseAND(F.lit(2**32 - 1)) < F.lit(int(share * 2**32))
 
 
-def row_key(seed: int, epoch: Column, row_id: Column) -> Column:
-    return F.xxhash64(F.lit(seed).cast("bigint"), epoch.cast("bigint"), row_id)
+def draws(ids: Column, seed: int, epoch: Column, row_id: Column) -> Column:
+    """One 64-bit draw per position: a hash of seed, epoch, row and position."""
+    seed = F.lit(seed).cast("bigint")
+    return F.transform(
+        ids, lambda _, i: F.xxhash64(seed, epoch.cast("bigint"), row_id, i)
+    )
 
 
-def draws(ids: Column, key: Column) -> Column:
-    """One 64-bit draw per position, a function of the row key and the position."""
-    return F.transform(ids, lambda _, i: F.xxhash64(key, i))
+def _chosen(x: Column, h: Column, probability: Fraction, vocab: Vocabulary) -> Column:
+    """Special tokens never are."""
+    return _below(h, probability) & ~x.isin(vocab.special_ids)
 
 
 def mlm_labels(
     ids: Column, draw: Column, probability: Fraction, vocab: Vocabulary = ESM2
 ) -> Column:
-    """The id where a position is chosen, else ``IGNORED``; special tokens never are."""
+    """The id where a position is chosen, else ``IGNORED``."""
     def label(x, h):
-        chosen = _below(h, probability) & ~x.isin(vocab.special_ids)
-        return F.when(chosen, x).otherwise(F.lit(IGNORED))
+        return F.when(_chosen(x, h, probability, vocab), x).otherwise(F.lit(IGNORED))
 
     return F.zip_with(ids, draw, label)
 
 
 def mlm_inputs(
-    ids: Column, draw: Column, labels: Column, probability: Fraction, vocab: Vocabulary = ESM2
+    ids: Column, draw: Column, probability: Fraction, vocab: Vocabulary = ESM2
 ) -> Column:
     """Ids with the chosen positions masked, replaced at random or left alone.
 
-    The low bits of a draw pick the action, the high bits the random token.
+    The low bits of a draw pick the action, the high bits the random token. Both arrays
+    are arguments of ``zip_with``: an array that a lambda looks into from outside could
+    be inlined by the optimiser and then be computed again for every element.
     """
-    def corrupt(x, i):
-        h = F.get(draw, i)
+    def corrupt(x, h):
         other = F.shiftrightunsigned(h, 32) % F.lit(len(vocab.symbols))
         return (
-            F.when(F.get(labels, i) == IGNORED, x)
+            F.when(~_chosen(x, h, probability, vocab), x)
             .when(_below(h, probability * MASK_SHARE), F.lit(vocab.mask_id))
             .when(_below(h, probability * (MASK_SHARE + RANDOM_SHARE)), other.cast("int"))
             .otherwise(x)
         )
 
-    return F.transform(ids, corrupt)
+    return F.zip_with(ids, draw, corrupt)

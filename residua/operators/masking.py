@@ -20,19 +20,19 @@ def mask_tokens(
 ) -> DataFrame:
     """Replaces ``input_ids`` by the corrupted ids and adds ``labels``.
 
-    Choices follow from (seed, epoch, id, position). Draws and labels are columns of
-    their own while they are read more than once, so each is computed once per row.
+    Choices follow from (seed, epoch, id, position). The draws are a column of their
+    own, read by both results, so they are computed once per row.
     """
     share = Fraction(str(probability))
     epoch = epoch if isinstance(epoch, Column) else F.lit(epoch)
-    ids = F.col("input_ids")
-    key = masking.row_key(seed, epoch, hash_key(df, id_col))
+    ids, drawn = F.col("input_ids"), F.col("_draws")
     return (
-        df.withColumn("_key", key)
-        .withColumn("_draws", masking.draws(ids, F.col("_key")))
-        .withColumn("labels", masking.mlm_labels(ids, F.col("_draws"), share, vocab))
-        .withColumn(
-            "input_ids", masking.mlm_inputs(ids, F.col("_draws"), F.col("labels"), share, vocab)
+        df.withColumn("_draws", masking.draws(ids, seed, epoch, hash_key(df, id_col)))
+        .withColumns(
+            {
+                "labels": masking.mlm_labels(ids, drawn, share, vocab),
+                "input_ids": masking.mlm_inputs(ids, drawn, share, vocab),
+            }
         )
-        .drop("_key", "_draws")
+        .drop("_draws")
     )

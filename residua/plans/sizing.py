@@ -30,6 +30,15 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataF
     return (F.broadcast(df) if small else df), small
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Over all cores if the input comes in fewer partitions, else as it is.
+
+    For costly work on few input splits: gzip files, or tables of one row group.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, hot_share: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and more than 1 in ``hot_share`` of all.
 

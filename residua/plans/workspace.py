@@ -2,27 +2,35 @@
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="residua-")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only on a local master."""
+    """The session's ``spark.checkpoint.dir``.
+
+    Where that is unset a local master gets a temporary folder, and a cluster an error:
+    a folder of one machine would lose the tables with the machine.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="residua-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(spark: SparkSession, df, name: str):
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written once and read back, which cuts its lineage."""
     path = new_path(spark, name)
     df.write.parquet(path)

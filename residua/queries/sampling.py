@@ -147,7 +147,7 @@ def register(r: Registry) -> None:
     draws = f"""
         SELECT doc_id, input_ids, {position_hashes("state", MAX_LENGTH)} AS draws
         FROM (SELECT doc_id, input_ids,
-                     {hash_longs(hash_longs(str(SEED), str(EPOCH), "doc_id"))} AS state
+                     {hash_longs(str(SEED), str(EPOCH), "doc_id")} AS state
               FROM ({TOKENISED_SQL}))"""
     low = f"(draws[i + 1] % {2**32}::UHUGEINT)"
     label_sql = f"""

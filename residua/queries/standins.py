@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import index, keyed, reports, split
 from ..operators.tokenize import tokenize
+from ..plans.sizing import spread_if_narrow
 from ..plans.workspace import new_path
 from ..sources import read_index_map_folder, read_items, read_shards
 
@@ -31,6 +32,10 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def texts(self, name: str) -> DataFrame:
+        """A table whose long texts are worth spreading over the cores."""
+        return spread_if_narrow(self(name))
+
     def staged(self, name: str, write) -> str:
         """Path of a data set, written by ``write(path)`` on first use."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
@@ -43,7 +48,7 @@ class Tables:
     @cached_property
     def sequences(self) -> DataFrame:
         """``doc_id, sequence, sequence_id``; letters of a document as residues."""
-        return self("documents").select(
+        return self.texts("documents").select(
             "doc_id",
             F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("sequence"),
             F.concat_ws(" ", "doc_id", "source").alias("sequence_id"),

@@ -92,8 +92,23 @@ def test_epoch_on_disk(spark, built, tmp_path):
     assert parts.where("n > 1").count() == 0
 
 
-def test_shared_folder(spark, conf, tmp_path):
-    conf("spark.checkpoint.dir", str(tmp_path))
-    assert workspace.new_path(spark, "a").startswith(f"{tmp_path}/a-")
+class Session:
+    """What the workspace asks of a session."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_shared_folder(spark):
+    given = workspace.new_path(Session("yarn", "hdfs://data/tmp/"), "a")
+    assert given.startswith("hdfs://data/tmp/a-")
+    local = workspace.shared_folder(Session("local[4]"))
+    assert local == workspace.shared_folder(Session("local[4]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(Session("yarn"))
+
+
+def test_stored_table_has_no_lineage(spark):
     rows = workspace.stored(spark, spark.range(5), "kept")
     assert rows.count() == 5 and "Range" not in rows._jdf.queryExecution().toString()

@@ -16,50 +16,51 @@ MASK_SHARE = Fraction(8, 10)
 RANDOM_SHARE = Fraction(1, 10)
 
 
-def _below(draw: Column, share: Fraction) -> Column:
-    """True for ``share`` of the draws; reads the low 32 bits."""
-    return draw.bitwiseAND(F.lit(2**32 - 1)) < F.lit(int(share * 2**32))
-
+def _bound(share: Fraction) -> Column:
+    """Draws below this are ``share`` of all signed 64-bit numbers."""
+    return F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1))
+
+
+def replacements(
+    ids: Column,
+    seed: int,
+    epoch: Column,
+    row_id: Column,
+    probability: Fraction,
+    vocab: Vocabulary = ESM2,
+) -> Column:
+    """Per position what it becomes if it is chosen, else NULL; special tokens never are.
 
-def draws(ids: Column, seed: int, epoch: Column, row_id: Column) -> Column:
-    """One 64-bit draw per position: a hash of seed, epoch, row and position."""
-    seed = F.lit(seed).cast("bigint")
-    return F.transform(
-        ids, lambda _, i: F.xxhash64(seed, epoch.cast("bigint"), row_id, i)
-    )
+    A position draws a 64-bit hash of seed, epoch, row and position. Its size chooses
+    the position and the action, its middle bits are the random token. The commonest
+    outcome is tested first, for a lambda is interpreted node by node.
+    """
+    seed, epoch = F.lit(seed).cast("bigint"), epoch.cast("bigint")
+    nothing = F.lit(None).cast("int")
 
+    def replacement(x, i):
+        draw = F.xxhash64(seed, epoch, row_id, i)
+        other = F.shiftrightunsigned(draw, 8) % F.lit(len(vocab.symbols))
+        return (
+            F.when(draw >= _bound(probability), nothing)
+            .when(x.isin(vocab.special_ids), nothing)
+            .when(draw < _bound(probability * MASK_SHARE), F.lit(vocab.mask_id))
+            .when(draw < _bound(probability * (MASK_SHARE + RANDOM_SHARE)), other.cast("int"))
+            .otherwise(x)
+        )
 
-def _chosen(x: Column, h: Column, probability: Fraction, vocab: Vocabulary) -> Column:
-    """Special tokens never are."""
-    return _below(h, probability) & ~x.isin(vocab.special_ids)
+    return F.transform(ids, replacement)
 
 
-def mlm_labels(
-    ids: Column, draw: Column, probability: Fraction, vocab: Vocabulary = ESM2
-) -> Column:
-    """The id where a position is chosen, else ``IGNORED``."""
-    def label(x, h):
-        return F.when(_chosen(x, h, probability, vocab), x).otherwise(F.lit(IGNORED))
+# Both arrays are arguments of ``zip_with``: an array that a lambda looks into from
+# outside could be inlined by the optimiser and be computed again for every element.
 
-    return F.zip_with(ids, draw, label)
 
+def mlm_labels(ids: Column, replaced: Column) -> Column:
+    """The id where a position is chosen, else ``IGNORED``."""
+    return F.zip_with(ids, replaced, lambda x, r: F.when(r.isNull(), IGNORED).otherwise(x))
 
-def mlm_inputs(
-    ids: Column, draw: Column, probability: Fraction, vocab: Vocabulary = ESM2
-) -> Column:
-    """Ids with the chosen positions masked, replaced at random or left alone.
-
-    The low bits of a draw pick the action, the high bits the random token. Both arrays
-    are arguments of ``zip_with``: an array that a lambda looks into from outside could
-    be inlined by the optimiser and then be computed again for every element.
-    """
-    def corrupt(x, h):
-        other = F.shiftrightunsigned(h, 32) % F.lit(len(vocab.symbols))
-        return (
-            F.when(~_chosen(x, h, probability, vocab), x)
-            .when(_below(h, probability * MASK_SHARE), F.lit(vocab.mask_id))
-            .when(_below(h, probability * (MASK_SHARE + RANDOM_SHARE)), other.cast("int"))
-            .otherwise(x)
-        )
 
-    return F.zip_with(ids, draw, corrupt)
+def mlm_inputs(ids: Column, replaced: Column) -> Column:
+    """The ids with the chosen positions replaced."""
+    return F.zip_with(ids, replaced, lambda x, r: F.coalesce(r, x))

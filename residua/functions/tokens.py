@@ -47,26 +47,20 @@ def symbols(text: Column, vocab: Vocabulary = ESM2) -> Column:
     return F.regexp_extract_all(text, F.lit(symbol_pattern(vocab)), F.lit(0))
 
 
-def _place(symbol: Column, vocab: Vocabulary) -> Column:
-    return F.instr(F.lit(vocab.letters), symbol)
-
-
-def _id_at(place: Column, vocab: Vocabulary) -> Column:
-    """Id of the letter at a place of the list; a sum if the ids are consecutive."""
-    ids = [vocab.ids[c] for c in vocab.letters]
-    if ids == list(range(ids[0], ids[0] + len(ids))):
-        return place + F.lit(ids[0] - 1)
-    return F.element_at(F.array(*[F.lit(i) for i in ids]), place)
+def _letter_id(symbol: Column, vocab: Vocabulary) -> Column:
+    """Id of a letter, from a table by code point; NULL for any other symbol."""
+    size = max(map(ord, vocab.letters)) + 1
+    table = F.array(*[F.lit(vocab.ids.get(chr(c))).cast("int") for c in range(size)])
+    return F.get(table, F.ascii(symbol))
 
 
 def symbol_id(symbol: Column, vocab: Vocabulary = ESM2) -> Column:
     """Id of one token string; whatever is not in the vocabulary is unknown."""
-    place = _place(symbol, vocab)
     other = F.lit(vocab.unk_id)
     if vocab.literals:
         table = F.create_map(*[F.lit(v) for s in vocab.literals for v in (s, vocab.ids[s])])
         other = F.when(symbol.isin(vocab.literals), F.element_at(table, symbol)).otherwise(other)
-    return F.when(place > 0, _id_at(place, vocab)).otherwise(other)
+    return F.coalesce(_letter_id(symbol, vocab), other)
 
 
 def symbol_ids(tokens: Column, vocab: Vocabulary = ESM2) -> Column:
@@ -75,7 +69,7 @@ def symbol_ids(tokens: Column, vocab: Vocabulary = ESM2) -> Column:
 
 def letter_ids(text: Column, vocab: Vocabulary = ESM2) -> Column:
     """Ids of a text that consists of vocabulary letters only."""
-    letters = F.transform(F.split(text, ""), lambda c: _id_at(_place(c, vocab), vocab))
+    letters = F.transform(F.split(text, ""), lambda c: _letter_id(c, vocab))
     return F.when(text == "", F.array().cast("array<int>")).otherwise(letters)
 
 
@@ -107,10 +101,11 @@ def padded(ids: Column, max_length: int, vocab: Vocabulary = ESM2) -> Column:
 
 
 def attention_mask(real: Column, max_length: int) -> Column:
-    """``real`` ones followed by zeros, ``max_length`` in all."""
-    return F.concat(
-        F.array_repeat(F.lit(1), real), F.array_repeat(F.lit(0), F.lit(max_length) - real)
+    """``real`` ones followed by zeros, ``max_length`` in all: a window on a constant."""
+    ones_then_zeros = F.concat(
+        F.array_repeat(F.lit(1), max_length), F.array_repeat(F.lit(0), max_length)
     )
+    return F.slice(ones_then_zeros, F.lit(max_length + 1) - real, max_length)
 
 
 def real_length(mask: Column) -> Column:

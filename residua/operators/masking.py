@@ -20,19 +20,20 @@ def mask_tokens(
 ) -> DataFrame:
     """Replaces ``input_ids`` by the corrupted ids and adds ``labels``.
 
-    Choices follow from (seed, epoch, id, position). The draws are a column of their
-    own, read by both results, so they are computed once per row.
+    Choices follow from (seed, epoch, id, position). The replacements are a column of
+    their own, read by both results, so they are drawn once per row.
     """
     share = Fraction(str(probability))
     epoch = epoch if isinstance(epoch, Column) else F.lit(epoch)
-    ids, drawn = F.col("input_ids"), F.col("_draws")
+    ids, replaced = F.col("input_ids"), F.col("_replaced")
+    drawn = masking.replacements(ids, seed, epoch, hash_key(df, id_col), share, vocab)
     return (
-        df.withColumn("_draws", masking.draws(ids, seed, epoch, hash_key(df, id_col)))
+        df.withColumn("_replaced", drawn)
         .withColumns(
             {
-                "labels": masking.mlm_labels(ids, drawn, share, vocab),
-                "input_ids": masking.mlm_inputs(ids, drawn, share, vocab),
+                "labels": masking.mlm_labels(ids, replaced),
+                "input_ids": masking.mlm_inputs(ids, replaced),
             }
         )
-        .drop("_draws")
+        .drop("_replaced")
     )

@@ -1,5 +1,7 @@
 """Epoch sampler and masking queries."""
 
+from fractions import Fraction
+
 from pyspark.sql import functions as F
 
 from ..functions import masking
@@ -149,18 +151,24 @@ def register(r: Registry) -> None:
         FROM (SELECT doc_id, input_ids,
                      {hash_longs(str(SEED), str(EPOCH), "doc_id")} AS state
               FROM ({TOKENISED_SQL}))"""
-    low = f"(draws[i + 1] % {2**32}::UHUGEINT)"
+    # Draws are signed in Spark: shifted by half the range they compare as unsigned.
+    place = f"((draws[i + 1] + {2**63}::UHUGEINT) % {2**64}::UHUGEINT)"
+
+    def below(share: Fraction) -> str:
+        return f"{place} < {int(share * 2**64)}::UHUGEINT"
+
+    chosen, masked, random = Fraction(15, 100), Fraction(12, 100), Fraction(135, 1000)
     label_sql = f"""
         SELECT doc_id, input_ids, draws, list_transform(range({MAX_LENGTH}), lambda i:
-            CASE WHEN {low} < {int(0.15 * 2**32)} AND input_ids[i + 1] NOT IN (0, 1, 2, 3, 32)
+            CASE WHEN {below(chosen)} AND input_ids[i + 1] NOT IN (0, 1, 2, 3, 32)
                  THEN input_ids[i + 1] ELSE -100 END) AS labels
         FROM ({draws})"""
     input_sql = f"""
         SELECT doc_id, list_transform(range({MAX_LENGTH}), lambda i:
             CASE WHEN labels[i + 1] = -100 THEN input_ids[i + 1]
-                 WHEN {low} < {int(0.12 * 2**32)} THEN 32
-                 WHEN {low} < {int(0.135 * 2**32)}
-                     THEN (draws[i + 1] // {2**32}::UHUGEINT % 33::UHUGEINT)::INTEGER
+                 WHEN {below(masked)} THEN 32
+                 WHEN {below(random)}
+                     THEN (draws[i + 1] // 256::UHUGEINT % 33::UHUGEINT)::INTEGER
                  ELSE input_ids[i + 1] END) AS input_ids
         FROM ({label_sql})"""
     r.add("mlm1_chosen_positions", chosen_positions, f"""

@@ -25,7 +25,8 @@ def record_sequence(value: Column) -> Column:
     """The body lines joined; empty for a header without a body."""
     end_of_header = F.instr(value, "\n")
     body = F.when(end_of_header > 0, F.substr(value, end_of_header + 1)).otherwise(F.lit(""))
-    return F.translate(body, "\r\n", "")
+    nothing = F.lit("")
+    return F.replace(F.replace(body, F.lit("\n"), nothing), F.lit("\r"), nothing)
 
 
 def read_fasta(spark: SparkSession, path, partitions: int | None = None) -> DataFrame:

@@ -88,16 +88,17 @@ def test_draws_are_the_published_hash(spark):
     assert all(0 <= r.h < 2**hashing.HASH_BITS for r in rows)
 
 
-def test_draws_are_computed_once(samples, plan):
-    """Both results read the draws, which must not be copied into each."""
+def test_replacements_are_drawn_once(samples, plan):
+    """Both results read them, so they must not be copied into each."""
     text = plan(mask_tokens(samples.select("id", "input_ids"), "id")).split("InMemory")[0]
-    assert text.count("xxhash64(") == 1 and text.count("zip_with(") == 2
+    assert text.count("transform(") == 1 and text.count("zip_with(") == 2
     assert "Python" not in text and "Exchange" not in text
 
 
 @pytest.mark.parametrize("kept", ["input_ids", "labels"])
 def test_no_array_is_computed_per_element(samples, plan, kept):
-    """With one result dropped, the draws are an argument, not part of a lambda."""
+    """With one result dropped, the replacements are an argument, not part of a lambda."""
     text = plan(mask_tokens(samples.select("id", "input_ids"), "id").select(kept))
-    text = text.split("InMemory")[0]
-    assert text.index("xxhash64(") < text.index("CASE WHEN")
+    outer = text.split("InMemory")[0].split("zip_with(")[1]
+    last_lambda = outer[outer.rindex("lambdafunction("):]
+    assert "transform(" in outer and "xxhash64" not in last_lambda

@@ -106,8 +106,8 @@ def lookup_positions(
             "file_name", "local_row", *sample, F.lit(True).alias("_found")
         )
         names = located.select("file_name").where("file_name is not null").distinct()
-        if is_small(names, NAMED_FILES):
-            wanted = [r.file_name for r in names.limit(NAMED_FILES).collect()]
+        wanted = [r.file_name for r in names.take(NAMED_FILES + 1)]
+        if len(wanted) <= NAMED_FILES:
             rows = rows.where(F.col("file_name").isin(wanted))
         joined = fetch(located, rows, ["file_name", "local_row"], distinct)
     else:

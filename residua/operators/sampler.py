@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from ..functions.hashing import HASH_BITS, hash_key, seeded_hash
 
 # 2**16 hash buckets: the offsets are at most that many rows however big the data.
+# Past about 10**9 rows take more bits; 2**20 rows are the most that are broadcast.
 BUCKET_BITS = 16
+MOST_BUCKET_BITS = 20
 
 
 def _with_position(df: DataFrame, key, id_col: str, bucket) -> DataFrame:
@@ -36,10 +38,18 @@ def _with_position(df: DataFrame, key, id_col: str, bucket) -> DataFrame:
     )
 
 
-def permutation(df: DataFrame, id_col: str, seed: int, epoch: int) -> DataFrame:
-    """Adds ``pos``: a shuffle of the rows that is a function of seed, epoch and id."""
+def permutation(
+    df: DataFrame, id_col: str, seed: int, epoch: int, bucket_bits: int = BUCKET_BITS
+) -> DataFrame:
+    """Adds ``pos``, a shuffle of the rows that is a function of seed, epoch and id, and
+    ``_rows``, how many there are.
+
+    Unique ids fill the buckets evenly. The number of buckets has no effect on ``pos``.
+    """
+    if not 0 <= bucket_bits <= MOST_BUCKET_BITS:
+        raise ValueError(f"bucket_bits must be in 0..{MOST_BUCKET_BITS}, got {bucket_bits}")
     key = seeded_hash(seed + epoch, hash_key(df, id_col))
-    bucket = F.shiftright("_key", HASH_BITS - BUCKET_BITS)
+    bucket = F.shiftright("_key", HASH_BITS - bucket_bits)
     return _with_position(df, key, id_col, bucket)
 
 
@@ -51,6 +61,7 @@ def epoch_assignment(
     epoch: int = 0,
     shuffle: bool = True,
     id_col: str = "id",
+    bucket_bits: int = BUCKET_BITS,
 ) -> DataFrame:
     """Adds ``pos, rank, rank_pos, batch``; the other columns travel along.
 
@@ -59,7 +70,7 @@ def epoch_assignment(
     until every rank has the same number.
     """
     if shuffle:
-        placed = permutation(df, id_col, seed, epoch)
+        placed = permutation(df, id_col, seed, epoch, bucket_bits)
     else:
         rows = df.agg(F.count("*")).scalar()
         placed = df.withColumn("pos", F.col(id_col).cast("bigint")).withColumn("_rows", rows)

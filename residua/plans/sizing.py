@@ -21,8 +21,12 @@ NULL_PARTS = 1024
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no further than that."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows.
+
+    Takes partitions until that many constants have come in, so a large table is not
+    read to its end and no more than ``rows`` flags reach the driver.
+    """
+    return len(df.select(F.lit(True)).take(rows + 1)) <= rows
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:

@@ -103,7 +103,7 @@ def path_functions(t: Tables):
     return t("pages").select(
         "page_id",
         url.startswith("https:").alias("secure"),
-        F.substring(url, 2, 2_000_000).alias("without_first"),
+        F.substr(url, F.lit(2)).alias("without_first"),
         F.concat(url, F.lit("/train")).alias("extended"),
         F.array_join(F.split(url, "/"), "").alias("joined"),
         F.regexp_extract(url, r".*/([^/]+)$", 1).alias("base_name"),
@@ -124,7 +124,7 @@ def register(r: Registry) -> None:
     r.add("src2_csv_scan", csv_scan, sequences)
     r.add("prj1_assemble_records", assembled, sequences)
     r.add("prj2_records_to_table", to_table, f"""
-        SELECT sequence_id, length(sequence) AS residues FROM ({SEQUENCES_SQL})""")
+        SELECT sequence_id, length(sequence)::INTEGER AS residues FROM ({SEQUENCES_SQL})""")
     r.add("fil1_header_lines", header_lines, f"""
         SELECT concat('>', sequence_id) AS header FROM ({SEQUENCES_SQL})""")
     r.add("fil2_flushed_records", flushed_records, f"""

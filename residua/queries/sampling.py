@@ -179,6 +179,6 @@ def register(r: Registry) -> None:
     r.add("mlm2_labels", labels, f"SELECT doc_id, {text('labels')} FROM ({label_sql})")
     r.add("mlm3_corrupted_inputs", inputs, f"SELECT doc_id, {text('input_ids')} FROM ({input_sql})")
     r.add("mlm4_specials_left_alone", specials_left_alone, f"""
-        SELECT label, count(*) AS chosen, false AS special
+        SELECT label::INTEGER AS label, count(*) AS chosen, false AS special
         FROM (SELECT unnest(labels) AS label FROM ({label_sql}))
         WHERE label <> -100 GROUP BY label""")

@@ -117,7 +117,7 @@ def register(r: Registry) -> None:
     both = f"{text('input_ids')}, {text('attention_mask')}"
     tokenised = f"SELECT sequence_id, {both} FROM ({TOKENISED_SQL})"
     r.add("src11_vocabulary_use", vocabulary_use, f"""
-        SELECT id, count(*) AS uses
+        SELECT id::INTEGER AS id, count(*) AS uses
         FROM (SELECT unnest({ids_sql(symbols_sql("text"))}) AS id FROM documents)
         GROUP BY id""")
     r.add("tok1_symbols", symbols_of_pages, f"""

@@ -38,10 +38,21 @@ def canonical(columns, rows):
     return names, sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
+# Column types that count as equal in the two engines.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def compare(df, con, sql):
     """None if equal, else a description of the first difference."""
     rows = [tuple(r) for r in df.collect()]
     result = con.execute(sql)
+    types = {d[0]: str(d[1]) for d in result.description}
+    for name, kind in df.dtypes:
+        if types.get(name) != TYPES[kind]:
+            return f"{name} is {kind} against {types.get(name)}"
     names, got = canonical(df.columns, rows)
     sql_names, want = canonical([d[0] for d in result.description], result.fetchall())
     if names != sql_names:

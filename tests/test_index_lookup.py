@@ -1,3 +1,5 @@
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,18 +98,10 @@ def make_large(monkeypatch):
     monkeypatch.setattr(sizing, "is_small", lambda df, rows=0: False)
     monkeypatch.setattr(lookup, "is_small", lambda df, rows=0: False)
     monkeypatch.setattr(lookup, "broadcast_if_small", lambda df, rows=0: (df, False))
-
-    def join(*args, **options):
-        return sizing.skew_safe_join(*args, **options, hot_rows=20, hot_share=100)
-
+    monkeypatch.setattr(lookup, "NAMED_FILES", 0)
+    join = partial(sizing.skew_safe_join, hot_rows=20, hot_share=100)
+    monkeypatch.setattr(sizing, "skew_safe_join", join)
     monkeypatch.setattr(lookup, "skew_safe_join", join)
-    real = sizing.skew_safe_join
-    monkeypatch.setattr(
-        sizing, "fetch",
-        lambda requests, rows, keys, distinct=False: real(
-            requests, rows, keys, "left", distinct=distinct, hot_rows=20, hot_share=100),
-    )
-    monkeypatch.setattr(lookup, "fetch", sizing.fetch)
 
 
 @pytest.mark.parametrize("strategy", ["dense", "binned"])
@@ -115,10 +109,7 @@ def make_large(monkeypatch):
 def test_lookup_positions(spark, data, monkeypatch, strategy, large):
     _, shards, base = data
     if large:
-        real_join = sizing.skew_safe_join
         make_large(monkeypatch)
-        monkeypatch.setattr(lookup, "skew_safe_join", lambda *a, **k: real_join(
-            *a, **k, hot_rows=20, hot_share=100))
     files = read_index_map_folder(spark, base, "train_index_map")
     requests = spark.createDataFrame(REQUESTS, "n int, idx bigint")
     found = lookup.lookup_positions(requests, files, shards, strategy).collect()

@@ -33,6 +33,8 @@ def order(spark, **options):
 def test_order_depends_on_seed_and_epoch_only(spark):
     base = order(spark, seed=1, epoch=2)
     assert base == order(spark, seed=1, epoch=2, parts=11)
+    assert base == order(spark, seed=1, epoch=2, bucket_bits=3)
+    assert base == order(spark, seed=1, epoch=2, bucket_bits=0)
     assert base != order(spark, seed=1, epoch=3)
     assert base != order(spark, seed=2, epoch=2)
     assert base != list(range(500))
@@ -76,3 +78,8 @@ def test_no_global_sort(spark, plan, conf):
     assert "rangepartitioning" not in text
     single = text[text.index("Exchange SinglePartition"):]
     assert "payload" not in single and "partial_count" in single
+
+
+def test_offsets_are_bounded(spark):
+    with pytest.raises(ValueError):
+        sampler.epoch_assignment(spark.range(3), 2, 1, bucket_bits=21)

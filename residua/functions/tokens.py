@@ -50,8 +50,8 @@ def symbols(text: Column, vocab: Vocabulary = ESM2) -> Column:
 def _letter_id(symbol: Column, vocab: Vocabulary) -> Column:
     """Id of a letter, from a table by code point; NULL for any other symbol."""
     size = max(map(ord, vocab.letters)) + 1
-    table = F.array(*[F.lit(vocab.ids.get(chr(c))).cast("int") for c in range(size)])
-    return F.get(table, F.ascii(symbol))
+    ids = [str(vocab.ids.get(chr(c), "null")) for c in range(size)]
+    return F.get(F.expr(f"cast(array({', '.join(ids)}) as array<int>)"), F.ascii(symbol))
 
 
 def symbol_id(symbol: Column, vocab: Vocabulary = ESM2) -> Column:

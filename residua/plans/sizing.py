@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # A table is broadcast only if it is counted to be at most this many rows.
 BROADCAST_ROWS = 200_000
 
+# Up to this many requests are sent to the rows instead of meeting them in a shuffle.
+FEW_REQUESTS = 20_000
+
 # A key is hot if it holds more than one row in this many, so there are fewer hot
 # keys than this, whatever the data: that bounds the table of hot keys.
 HOT_SHARE = 1000
@@ -118,7 +121,7 @@ def fetch(
     Few requests are sent to the rows, so that only hits are shuffled; many meet the
     rows in a shuffle that survives hot keys.
     """
-    if not is_small(requests):
+    if not is_small(requests, FEW_REQUESTS):
         return skew_safe_join(requests, rows, keys, "left", distinct=distinct)
     wanted = F.broadcast(requests.select(*keys).distinct())
     return requests.join(rows.join(wanted, list(keys), "left_semi"), list(keys), "left")

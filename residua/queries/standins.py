@@ -134,10 +134,12 @@ class Tables:
         epochs = reports.eval_report(self.batch_losses, MAX_LENGTH)
         return reports.format_metrics(epochs, "Eval")
 
+    def _log(self, path: str) -> None:
+        reports.write_log(self.training_lines.unionAll(self.eval_lines), path)
+
     @property
     def log(self) -> str:
-        lines = self.training_lines.unionAll(self.eval_lines)
-        return self.staged("log", lambda path: reports.write_log(lines, path))
+        return self.staged("log", self._log)
 
 
 # The same inputs in SQL.

@@ -47,9 +47,13 @@ class Tables:
 
     @cached_property
     def sequences(self) -> DataFrame:
+        return self.sequences_with()
+
+    def sequences_with(self, *columns: str) -> DataFrame:
         """``doc_id, sequence, sequence_id``; letters of a document as residues."""
         return self.texts("documents").select(
             "doc_id",
+            *columns,
             F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("sequence"),
             F.concat_ws(" ", "doc_id", "source").alias("sequence_id"),
         )

@@ -88,8 +88,8 @@ def exact_token_counts(t: Tables):
 
 
 def tokens_by_language(t: Tables):
-    counted = token_counts(t.tokenised).select("doc_id", "real_tokens")
-    return counted.join(t("documents").select("doc_id", "lang"), "doc_id").groupBy("lang").agg(
+    counted = token_counts(tokenize(t.sequences_with("lang"), MAX_LENGTH))
+    return counted.groupBy("lang").agg(
         F.count("*").alias("sequences"), F.sum("real_tokens").alias("real_tokens")
     )
 

@@ -85,23 +85,21 @@ def lookup_positions(
     strategy: str = "dense",
     idx_col: str = "idx",
     strict: bool = False,
-    distinct: bool = False,
 ) -> DataFrame:
     """Every request with its sample's columns.
 
     ``dense`` numbers all rows and joins on the number: for requests that touch much
     of the data. ``binned`` first resolves requests to file and row, then opens only
     the shards that are asked for. A position out of range gives NULLs, or with
-    ``strict`` fails the job. ``distinct`` says that no two requests are equal in all
-    columns, which saves a shuffle of them.
+    ``strict`` fails the job.
     """
     sample = [c for c in shards.columns if c not in ("file_name", "row_index")]
     if strategy == "dense":
         rows = with_global_index(shards, index).withColumnRenamed("global_idx", idx_col)
         rows = rows.select(idx_col, *sample, F.lit(True).alias("_found"))
-        joined = fetch(requests, rows, [idx_col], distinct)
+        joined = fetch(requests, rows, [idx_col])
     elif strategy == "binned":
-        located = locate(requests, index, idx_col=idx_col, distinct=distinct)
+        located = locate(requests, index, idx_col=idx_col)
         rows = shards.withColumnRenamed("row_index", "local_row").select(
             "file_name", "local_row", *sample, F.lit(True).alias("_found")
         )
@@ -109,22 +107,18 @@ def lookup_positions(
         wanted = [r.file_name for r in names.take(NAMED_FILES + 1)]
         if len(wanted) <= NAMED_FILES:
             rows = rows.where(F.col("file_name").isin(wanted))
-        joined = fetch(located, rows, ["file_name", "local_row"], distinct)
+        joined = fetch(located, rows, ["file_name", "local_row"])
     else:
         raise ValueError(f"strategy must be 'dense' or 'binned', got {strategy!r}")
     return _finish(joined, requests.columns, sample, idx_col, strict)
 
 
 def lookup_keys(
-    requests: DataFrame,
-    items: DataFrame,
-    key: str = "sequence_id",
-    strict: bool = False,
-    distinct: bool = False,
+    requests: DataFrame, items: DataFrame, key: str = "sequence_id", strict: bool = False
 ) -> DataFrame:
-    """Every request with the item stored under its key."""
+    """Every request with the item stored under its key; items bucketed by key stay put."""
     rows = items.withColumn("_found", F.lit(True))
-    joined = fetch(requests, rows, [key], distinct)
+    joined = fetch(requests, rows, [key])
     return _finish(joined, requests.columns, items.columns, key, strict)
 
 

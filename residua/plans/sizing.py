@@ -113,15 +113,38 @@ def skew_safe_join(
     return joined.select(*many.columns, *[c for c in other.columns if c not in keys])
 
 
-def fetch(
-    requests: DataFrame, rows: DataFrame, keys: Sequence[str], distinct: bool = False
+def hot_apart_join(
+    many: DataFrame,
+    unique: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
+    """Left join to rows that are unique by ``keys``; a key of ``many`` may be hot.
+
+    Rows of ``many`` with a hot key or none stay where they are: the rows they need are
+    fewer than ``hot_share`` and are broadcast. The others meet ``unique`` in a plain
+    equi-join, which leaves it in place if it is bucketed by key. Without hot keys the
+    second branch is empty and adaptive execution drops it, scan included.
+    """
+    keys = list(keys)
+    hot = F.broadcast(hot_keys(many, keys, hot_rows, hot_share).withColumnRenamed("_parts", "_hot"))
+    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    flagged = many.join(hot, keys, "left").withColumn("_apart", F.col("_hot").isNotNull() | keyless)
+    wanted = F.broadcast(unique.join(hot.select(*keys), keys, "left_semi"))
+    columns = [*many.columns, *[c for c in unique.columns if c not in keys]]
+    cold = flagged.where(~F.col("_apart")).join(unique, keys, "left")
+    apart = flagged.where(F.col("_apart")).join(wanted, keys, "left")
+    return cold.select(*columns).unionAll(apart.select(*columns))
+
+
+def fetch(requests: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of requests to rows that are unique by ``keys``.
 
     Few requests are sent to the rows, so that only hits are shuffled; many meet the
-    rows in a shuffle that survives hot keys.
+    rows in a join that survives hot keys.
     """
     if not is_small(requests, FEW_REQUESTS):
-        return skew_safe_join(requests, rows, keys, "left", distinct=distinct)
+        return hot_apart_join(requests, rows, keys)
     wanted = F.broadcast(requests.select(*keys).distinct())
     return requests.join(rows.join(wanted, list(keys), "left_semi"), list(keys), "left")

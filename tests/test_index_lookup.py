@@ -102,6 +102,8 @@ def make_large(monkeypatch):
     join = partial(sizing.skew_safe_join, hot_rows=20, hot_share=100)
     monkeypatch.setattr(sizing, "skew_safe_join", join)
     monkeypatch.setattr(lookup, "skew_safe_join", join)
+    apart = partial(sizing.hot_apart_join, hot_rows=20, hot_share=100)
+    monkeypatch.setattr(sizing, "hot_apart_join", apart)
 
 
 @pytest.mark.parametrize("strategy", ["dense", "binned"])
@@ -180,18 +182,60 @@ def test_items_are_decimals(spark, tmp_path):
     assert lookup.model_columns(stored).columns == ["input_ids", "attention_mask"]
 
 
-def test_bucketed_items_stay_where_they_are(spark, tmp_path, conf, plan):
+def test_bucketed_items_stay_where_they_are(spark, tmp_path, conf, plan, monkeypatch):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    make_large(monkeypatch)
     keyed.write_bucketed_items(items_of(spark, 500), "kept_items", str(tmp_path / "b"), 4)
-    items = spark.table("kept_items")
-    requests = spark.range(900).withColumnRenamed("id", "sequence_id").repartition(4, "sequence_id")
-    joined = requests.join(items, "sequence_id", "left")
-    item_side = plan(joined).split("SortMergeJoin")[1].split("kept_items")[0].split("\n")
-    assert joined.where("input_ids is not null").count() == 500
-    assert sum("Exchange" in line for line in item_side) <= 1
+    requests = spark.range(900).withColumnRenamed("id", "sequence_id")
+    joined = lookup.lookup_keys(requests, spark.table("kept_items"))
+    item_side = plan(joined).split("SortMergeJoin")[1].split("kept_items")[0]
+    between = item_side[item_side.rindex("Sort ["):]
+    assert "Exchange" not in between and "Bucketed: true" in plan(joined)
+    assert joined.where("input_ids is not null").count() == 500 and joined.count() == 900
     spark.sql("drop table kept_items")
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan")[0]
+
+
+def test_no_second_scan_without_hot_keys(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.range(500).selectExpr("id as k", "id as w").write.parquet(str(tmp_path / "w"))
+    other = spark.read.parquet(str(tmp_path / "w"))
+    even = spark.range(500).withColumnRenamed("id", "k")
+    uneven = even.unionAll(spark.range(300).selectExpr("3L as k"))
+    options = {"hot_rows": 50, "hot_share": 50}
+    scans = [final_plan(sizing.hot_apart_join(df, other, ["k"], **options)).count("FileScan parquet")
+             for df in (even, uneven)]
+    assert scans == [1, 2]
+
+
+def test_hot_apart_join_equals_a_plain_join(spark):
+    rows = [(1, i) for i in range(300)] + [(k, k) for k in range(60)] + [(1, 0)] * 250
+    rows += [(None, i) for i in range(40)] + [(2, 2)] * 90 + [(None, 0)] * 30
+    many = spark.createDataFrame(rows, "k int, v int")
+    other = spark.createDataFrame([(k, -k) for k in [1, *range(0, 50, 2)]], "k int, w int")
+    joined = sizing.hot_apart_join(many, other, ["k"], hot_rows=10, hot_share=50)
+    assert joined.columns == ["k", "v", "w"]
+    assert sorted(map(str, joined.collect())) == plain(many, other, "left")
+
+
+def test_hot_rows_are_not_shuffled(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    many = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 3 == 1, None)
+        .otherwise(F.col("id")).alias("k"))
+    other = many.where("k is not null").distinct().withColumn("w", F.lit(1))
+    joined = sizing.hot_apart_join(many, other, ["k"], hot_rows=100, hot_share=50)
+    sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 9000
+    assert max(r["count"] for r in sizes) < 1000
+    assert joined.where("w is null").count() == 3000
+
+
 def plain(many, other, how):
     return sorted(map(str, many.join(other, "k", how).select("k", "v", "w").collect()))
 

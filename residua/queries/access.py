@@ -9,7 +9,7 @@ from .standins import MAX_LENGTH, ROWS_PER_FILE_SQL, TOKENISED_SQL, Tables, text
 
 def positions(t: Tables):
     """One request per order line; parts beyond the last document are out of range."""
-    return t("lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("idx"))
+    return t.spread("lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("idx"))
 
 
 def _result(found):
@@ -53,7 +53,7 @@ def matches(t: Tables):
 
 
 def key_requests(t: Tables):
-    return t("lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("sequence_id"))
+    return t.spread("lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("sequence_id"))
 
 
 def key_lookup(t: Tables):

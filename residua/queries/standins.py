@@ -32,8 +32,8 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def texts(self, name: str) -> DataFrame:
-        """A table whose long texts are worth spreading over the cores."""
+    def spread(self, name: str) -> DataFrame:
+        """A table whose rows are costly to work on, over all cores even if it is one split."""
         return spread_if_narrow(self(name))
 
     def staged(self, name: str, write) -> str:
@@ -51,7 +51,7 @@ class Tables:
 
     def sequences_with(self, *columns: str) -> DataFrame:
         """``doc_id, sequence, sequence_id``; letters of a document as residues."""
-        return self.texts("documents").select(
+        return self.spread("documents").select(
             "doc_id",
             *columns,
             F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("sequence"),

@@ -24,7 +24,7 @@ LONG = 1024
 
 def vocabulary_use(t: Tables):
     """Occurrences of every vocabulary id in all document texts, unknown runs included."""
-    found = t.texts("documents").select(F.explode(tokens.symbols(F.col("text"))).alias("symbol"))
+    found = t.spread("documents").select(F.explode(tokens.symbols(F.col("text"))).alias("symbol"))
     return found.groupBy(tokens.symbol_id(F.col("symbol")).alias("id")).agg(
         F.count("*").alias("uses")
     )
@@ -32,14 +32,14 @@ def vocabulary_use(t: Tables):
 
 def symbols_of_pages(t: Tables):
     """Mark-up is full of ``<`` that begins no literal."""
-    return t.texts("pages").select("page_id", tokens.symbols(F.col("html")).alias("symbols")).select(
+    return t.spread("pages").select("page_id", tokens.symbols(F.col("html")).alias("symbols")).select(
         "page_id", joined("symbols")
     )
 
 
 def ids_of_turns(t: Tables):
     ids = tokens.symbol_ids(tokens.symbols(F.col("text")))
-    return t.texts("conversations").select("conv_id", "turn", ids.alias("ids")).select(
+    return t.spread("conversations").select("conv_id", "turn", ids.alias("ids")).select(
         "conv_id", "turn", joined("ids")
     )
 
@@ -63,7 +63,7 @@ def tokenised_documents(t: Tables):
 
 def tokenised_pages(t: Tables):
     """Raw mark-up at a long length: the general path on every row."""
-    rows = tokenize(t.texts("pages"), LONG, text_col="html")
+    rows = tokenize(t.spread("pages"), LONG, text_col="html")
     return rows.select("page_id", joined("input_ids"), joined("attention_mask"))
 
 

@@ -149,7 +149,9 @@ def reference_counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     counted = map_arrow_partition(texts, "lang string, kind string, word string, n bigint", _counted)
     sums = counted.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "word"))
-    return sums.withColumn("_rank", rank).where((F.col("kind") != "short") | (F.col("_rank") <= rules.n_common)).drop("_rank")
+    # All kinds but the short words have one row, so one limit holds for all; Spark applies it
+    # before the shuffle of the window as well.
+    return sums.withColumn("_rank", rank).where(F.col("_rank") <= rules.n_common).drop("_rank")
 
 
 def references(docs: DataFrame, rules: Rules = Rules()) -> References:

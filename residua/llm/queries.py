@@ -20,7 +20,28 @@ def op1_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_minimum_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op3_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op9_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_divergence_rules": op1_divergence_rules,
+    "op2_minimum_slack_packing": op2_minimum_slack_packing,
+    "op3_naive_bayes_language": op3_naive_bayes_language,
+    "op9_segment_tree_bpe": op9_segment_tree_bpe,
 }
 SQL: dict[str, str] = {}

@@ -32,6 +32,18 @@ def op3_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op7_hyperplane_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hyperplanes import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op8_fourier_ridge_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import round_trip
 
@@ -42,6 +54,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_divergence_rules": op1_divergence_rules,
     "op2_minimum_slack_packing": op2_minimum_slack_packing,
     "op3_naive_bayes_language": op3_naive_bayes_language,
+    "op7_hyperplane_near_duplicates": op7_hyperplane_near_duplicates,
+    "op8_fourier_ridge_quality": op8_fourier_ridge_quality,
     "op9_segment_tree_bpe": op9_segment_tree_bpe,
 }
 SQL: dict[str, str] = {}

@@ -32,6 +32,12 @@ def op3_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_hyperplane_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .hyperplanes import near_duplicates
 
@@ -54,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_divergence_rules": op1_divergence_rules,
     "op2_minimum_slack_packing": op2_minimum_slack_packing,
     "op3_naive_bayes_language": op3_naive_bayes_language,
+    "op5_suffix_tree_repeats": op5_suffix_tree_repeats,
     "op7_hyperplane_near_duplicates": op7_hyperplane_near_duplicates,
     "op8_fourier_ridge_quality": op8_fourier_ridge_quality,
     "op9_segment_tree_bpe": op9_segment_tree_bpe,

@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The key of the registered queries; a deployment passes a secret of its own.
+QUERY_KEY = b"key of the registered queries"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -32,6 +35,12 @@ def op3_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op4_chosen_path_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chosen_path import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substrings import remove_repeats
 
@@ -56,13 +65,21 @@ def op9_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op10_surrogate_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .surrogates import pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents"), QUERY_KEY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_divergence_rules": op1_divergence_rules,
     "op2_minimum_slack_packing": op2_minimum_slack_packing,
     "op3_naive_bayes_language": op3_naive_bayes_language,
+    "op4_chosen_path_near_duplicates": op4_chosen_path_near_duplicates,
     "op5_suffix_tree_repeats": op5_suffix_tree_repeats,
     "op7_hyperplane_near_duplicates": op7_hyperplane_near_duplicates,
     "op8_fourier_ridge_quality": op8_fourier_ridge_quality,
     "op9_segment_tree_bpe": op9_segment_tree_bpe,
+    "op10_surrogate_personal_data": op10_surrogate_personal_data,
 }
 SQL: dict[str, str] = {}

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..plans.workspace import stored
 from .graph import components
-from .substrings import text_key, texts_of
+from .substrings import text_key, texts_of, with_texts
 from .tasks import map_arrow
 from .words import U64, Words, blocks, hash_windows, mix
 
@@ -166,7 +166,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFra
 def _sets(classes: DataFrame, wanted: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """``cid, shingles``: the sorted full sets of the wanted classes, packed."""
     places = wanted.join(classes.select("cid", "k", "tag"), "cid")
-    rows = texts.join(places, ["k", "tag"]).select("cid", "text")
+    rows = with_texts(places, texts).select("cid", "text")
 
     def each(batch):
         for w in blocks(batch.column("text"), lower=True):
@@ -229,10 +229,9 @@ def links(classes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame
     return reduce(DataFrame.unionAll, found)
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
-    spark = docs.sparkSession
-    texts = texts_of(docs)
+def _in_components(texts: DataFrame, settings: Settings) -> DataFrame:
+    """``k, tag, n, component`` of every distinct text; components are named by a class."""
+    spark = texts.sparkSession
     signed = stored(spark, signatures(texts, settings), "signatures")
     classes = stored(
         spark,
@@ -242,18 +241,50 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
     parts = components(links(classes, texts, settings)).withColumnRenamed("id", "cid")
     of_text = signed.drop("sketch").join(classes.select("one", "two", "n", "cid"), ["one", "two", "n"]).join(parts, "cid", "left")
-    of_text = of_text.select("k", "tag", "n", F.coalesce("component", "cid").alias("component"))
+    return of_text.select("k", "tag", "n", F.coalesce("component", "cid").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    of_text = _in_components(texts_of(docs), settings)
     rows = stored(
-        spark,
+        docs.sparkSession,
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *text_key()).join(of_text, ["k", "tag"]).select("doc_id", "n", "component"),
         "documents-in-components",
     )
-    least = rows.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     # Rows without a set have no part in a component; they must not meet under its name either.
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
-    whole = rows.where(~alone).join(least, "component").select("doc_id", "n", F.col("least").alias("component_id"))
+    least = rows.where(~alone).groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    whole = rows.where(~alone).join(least, "component").select("doc_id", "n", "component_id")
     out = whole.unionAll(rows.where(alone).select("doc_id", "n", F.col("doc_id").alias("component_id")))
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row of each component, that of the least id; all columns stay.
+
+    Of rows with the same id and text one stays. Rows without id or without words all stay.
+    """
+    spark = docs.sparkSession
+    texts = texts_of(docs)
+    names = [name for name in docs.columns if name != "text"]
+    k, tag = text_key()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
+        F.col("text").isNull().alias("no_text"), k.alias("k"), tag.alias("tag"),
+    )
+    placed = stored(spark, rows.join(_in_components(texts, settings), ["k", "tag"]), "rows-in-components")
+    alone = (F.col("n") == 0) | F.col("id").isNull()
+    # The text's key breaks ties between rows that share an id; copies of a row are counted in the tasks.
+    best = placed.where(~alone).groupBy("component").agg(F.min(F.struct("id", "k", "tag")).alias("best"))
+    firsts = best.select("component", "best.*")
+    kept = placed.where(~alone).join(firsts, ["component", "id", "k", "tag"]).dropDuplicates(["component", "id", "k", "tag"])
+    columns = ["row", "no_text", "k", "tag"]
+    chosen = stored(spark, kept.select(*columns).unionAll(placed.where(alone).select(*columns)), "kept-rows")
+    text = F.when(~F.col("no_text"), F.col("text"))
+    return with_texts(chosen, texts).select(
+        *[text.alias(name) if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns]
+    )

@@ -47,6 +47,12 @@ def op5_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_text_to_tag_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .extraction import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_hyperplane_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .hyperplanes import near_duplicates
 
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_naive_bayes_language": op3_naive_bayes_language,
     "op4_chosen_path_near_duplicates": op4_chosen_path_near_duplicates,
     "op5_suffix_tree_repeats": op5_suffix_tree_repeats,
+    "op6_text_to_tag_extraction": op6_text_to_tag_extraction,
     "op7_hyperplane_near_duplicates": op7_hyperplane_near_duplicates,
     "op8_fourier_ridge_quality": op8_fourier_ridge_quality,
     "op9_segment_tree_bpe": op9_segment_tree_bpe,

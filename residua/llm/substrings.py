@@ -89,7 +89,7 @@ def spans_of(w: Words, settings: Settings) -> Spans:
     return Spans(doc[begin], at[begin] - w.ptr[doc[begin]], np.diff(np.append(begin, len(at))), runs[anchor[begin]])
 
 
-def texts_of(docs: DataFrame, settings: Settings) -> DataFrame:
+def texts_of(docs: DataFrame) -> DataFrame:
     """Every distinct text once, bucketed by its hash ``k`` so that later joins leave it in place.
 
     ``tag`` is part of a second hash; both together identify the text. ``n_rows`` counts its
@@ -109,6 +109,16 @@ def text_key() -> tuple:
     return F.xxhash64(text).alias("k"), F.conv(F.substring(F.md5(text.cast("binary")), 1, 3), 16, 10).cast("int").alias("tag")
 
 
+def with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows`` (``k, tag`` and others) with ``text``; the bucketed texts are not moved.
+
+    The tags are compared by difference: as a join key they would call for a shuffle by both.
+    """
+    held = texts.select(F.col("k").alias("_tk"), F.col("tag").alias("_tt"), "text")
+    joined = held.join(rows, (F.col("_tk") == F.col("k")) & (F.col("_tt") - F.col("tag") == 0))
+    return joined.drop("_tk", "_tt")
+
+
 def _anchors(texts: DataFrame, settings: Settings) -> DataFrame:
     """``hash, k, place``: the anchor of every span; the place holds tag and first window."""
 
@@ -329,7 +339,7 @@ def applied(texts: DataFrame, found: DataFrame, settings: Settings, with_text: b
 def remove_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row of ``docs``."""
     spark = docs.sparkSession
-    texts = texts_of(docs, settings)
+    texts = texts_of(docs)
     done = stored(spark, applied(texts, stretches(texts, settings), settings, False).drop("kept_text"), "kept")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *text_key())
     return rows.join(done, ["k", "tag"]).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -338,13 +348,16 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFram
 def without_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with the repeating passages cut out of ``text``; all rows and columns stay."""
     spark = docs.sparkSession
-    texts = texts_of(docs, settings)
+    texts = texts_of(docs)
     done = applied(texts, stretches(texts, settings), settings, True).where("n_removed > 0")
-    changed = stored(spark, done.select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), "kept_text"), "cut-texts")
+    changed = stored(spark, done.select(F.col("k").alias("_ck"), F.col("tag").alias("_ct"), "kept_text"), "cut-texts")
+    # All but the text moves to the text.
+    names = [name for name in docs.columns if name != "text"]
     k, tag = text_key()
-    own = docs.select("*", k.alias("_k"), tag.alias("_tag"))
-    joined = own.alias("d").join(changed.alias("c"), ["_k", "_tag"], "left")
-    return joined.select(*[
-        F.coalesce(F.col("c.kept_text"), F.col("d.text")).alias("text") if name == "text" else F.col(f"d.`{name}`")
-        for name in docs.columns
-    ])
+    rows = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"), F.col("text").isNull().alias("no_text"),
+        k.alias("k"), tag.alias("tag"),
+    )
+    joined = with_texts(rows, texts).join(changed, (F.col("k") == F.col("_ck")) & (F.col("tag") - F.col("_ct") == 0), "left")
+    text = F.when(~F.col("no_text"), F.coalesce("kept_text", "text"))
+    return joined.select(*[text.alias(name) if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns])

@@ -269,22 +269,22 @@ def without_near_duplicates(docs: DataFrame, settings: Settings = Settings()) ->
     Of rows with the same id and text one stays. Rows without id or without words all stay.
     """
     spark = docs.sparkSession
-    texts = texts_of(docs)
+    # A row without words or id is not part of any group, and there may be many of them.
+    alone = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    some = docs.where(~alone)
+    texts = texts_of(some)
     names = [name for name in docs.columns if name != "text"]
     k, tag = text_key()
-    rows = docs.select(
+    rows = some.select(
         F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
-        F.col("text").isNull().alias("no_text"), k.alias("k"), tag.alias("tag"),
+        k.alias("k"), tag.alias("tag"),
     )
     placed = stored(spark, rows.join(_in_components(texts, settings), ["k", "tag"]), "rows-in-components")
-    alone = (F.col("n") == 0) | F.col("id").isNull()
     # The text's key breaks ties between rows that share an id; copies of a row are counted in the tasks.
-    best = placed.where(~alone).groupBy("component").agg(F.min(F.struct("id", "k", "tag")).alias("best"))
-    firsts = best.select("component", "best.*")
-    kept = placed.where(~alone).join(firsts, ["component", "id", "k", "tag"]).dropDuplicates(["component", "id", "k", "tag"])
-    columns = ["row", "no_text", "k", "tag"]
-    chosen = stored(spark, kept.select(*columns).unionAll(placed.where(alone).select(*columns)), "kept-rows")
-    text = F.when(~F.col("no_text"), F.col("text"))
-    return with_texts(chosen, texts).select(
-        *[text.alias(name) if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns]
+    best = placed.groupBy("component").agg(F.min(F.struct("id", "k", "tag")).alias("best")).select("component", "best.*")
+    kept = placed.join(best, ["component", "id", "k", "tag"]).dropDuplicates(["component", "id", "k", "tag"])
+    chosen = stored(spark, kept.select("row", "k", "tag"), "kept-rows")
+    out = with_texts(chosen, texts).select(
+        *[F.col("text") if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns]
     )
+    return out.unionAll(docs.where(alone))

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import sql
+
 # The key of the registered queries; a deployment passes a secret of its own.
 QUERY_KEY = b"key of the registered queries"
 
@@ -89,4 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_segment_tree_bpe": op9_segment_tree_bpe,
     "op10_surrogate_personal_data": op10_surrogate_personal_data,
 }
-SQL: dict[str, str] = {}
+# The others cannot be expressed in SQL; tests/llm holds them against brute-force versions.
+SQL: dict[str, str] = {
+    "op4_chosen_path_near_duplicates": sql.NEAR_DUPLICATE_DOCUMENTS,
+    "op5_suffix_tree_repeats": sql.REPEATED_PASSAGES,
+    "op7_hyperplane_near_duplicates": sql.NEAR_DUPLICATE_VECTORS,
+}

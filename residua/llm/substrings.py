@@ -350,14 +350,11 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     spark = docs.sparkSession
     texts = texts_of(docs)
     done = applied(texts, stretches(texts, settings), settings, True).where("n_removed > 0")
-    changed = stored(spark, done.select(F.col("k").alias("_ck"), F.col("tag").alias("_ct"), "kept_text"), "cut-texts")
-    # All but the text moves to the text.
-    names = [name for name in docs.columns if name != "text"]
+    changed = stored(spark, done.select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), "kept_text"), "cut-texts")
+    # Copies of a text may be a large part of the rows, so the rows move and hot keys can be split.
     k, tag = text_key()
-    rows = docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"), F.col("text").isNull().alias("no_text"),
-        k.alias("k"), tag.alias("tag"),
-    )
-    joined = with_texts(rows, texts).join(changed, (F.col("k") == F.col("_ck")) & (F.col("tag") - F.col("_ct") == 0), "left")
-    text = F.when(~F.col("no_text"), F.coalesce("kept_text", "text"))
-    return joined.select(*[text.alias(name) if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns])
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    joined = docs.select(whole, k.alias("_k"), tag.alias("_tag")).join(changed, ["_k", "_tag"], "left")
+    return joined.select(*[
+        (F.coalesce("kept_text", "row.text") if name == "text" else F.col(f"row.`{name}`")).alias(name) for name in docs.columns
+    ])

@@ -363,13 +363,14 @@ def without_personal_data(docs: DataFrame, key: bytes, n_entities: str | None =
     text: Column = F.col("text").cast("string")
     flag = F.arrow_udf(_has_mentions, "boolean")(text)
     k, tag = text_key()
-    mine = docs.where(flag).withColumn("_k", k).withColumn("_tag", tag).alias("d")
-    other = per_text.select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), F.col("names").alias("_names")).alias("n")
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    mine = docs.where(flag).select(whole, k.alias("_k"), tag.alias("_tag"))
+    other = per_text.select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), F.col("names").alias("_names"))
     met = mine.join(other, ["_k", "_tag"])
-    new = F.arrow_udf(_replaced, "string")(F.col("d.text").cast("string"), F.col("n._names.kind"), F.col("n._names.value"), F.col("n._names.surrogate"))
-    count = [] if n_entities is None else [F.size("n._names").cast("bigint").alias(n_entities)]
+    new = F.arrow_udf(_replaced, "string")(F.col("row.text").cast("string"), F.col("_names.kind"), F.col("_names.value"), F.col("_names.surrogate"))
+    count = [] if n_entities is None else [F.size("_names").cast("bigint").alias(n_entities)]
     none = [] if n_entities is None else [F.lit(0).cast("bigint").alias(n_entities)]
-    changed = met.select(*[new.alias("text") if name == "text" else F.col(f"d.`{name}`") for name in docs.columns], *count)
+    changed = met.select(*[(new if name == "text" else F.col(f"row.`{name}`")).alias(name) for name in docs.columns], *count)
     return changed.unionAll(docs.where(~flag).select(*[F.col(f"`{name}`") for name in docs.columns], *none))
 
 

@@ -45,9 +45,11 @@ class Settings:
     trees: int = 12
     first_levels: int = 3
     # Nodes up to this size are compared exhaustively.
-    small: int = 32
-    # Levels after which a node is compared whatever its size, in blocks of the join.
-    levels: int = 24
+    small: int = 64
+    # Levels by which a large node is branched at a time.
+    step: int = 3
+    # Levels after which a node is compared whatever its size.
+    levels: int = 21
     minwise: int = 128
     # Standard deviations below the threshold at which a sketch rules a pair out.
     margin: float = 3.5
@@ -128,21 +130,42 @@ def _rooted(classes: DataFrame, settings: Settings) -> DataFrame:
     return map_arrow(classes.where("n > 0").select("cid", "sketch"), "node bigint, cid bigint", each)
 
 
-def _branched(members: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """``node, cid`` one level below the nodes of ``members``."""
+def _branched(rows: DataFrame, settings: Settings) -> DataFrame:
+    """``node, cid`` some levels below the nodes of ``node, cid, sketch``."""
 
     def each(batch):
         sketch, cid = _sketches(batch.column("sketch")), batch.column("cid").to_numpy()
-        row, node = branch(np.arange(len(cid)), batch.column("node").to_numpy().view(U64), sketch, settings)
+        row, node = np.arange(len(cid)), batch.column("node").to_numpy().view(U64)
+        for _ in range(settings.step):
+            row, node = branch(row, node, sketch, settings)
         yield {"node": node.view(np.int64), "cid": cid[row]}
 
-    return map_arrow(members.join(classes.select("cid", "sketch"), "cid").select("node", "cid", "sketch"), "node bigint, cid bigint", each)
+    return map_arrow(rows.select("node", "cid", "sketch"), "node bigint, cid bigint", each)
 
 
 def _members(rows: DataFrame) -> DataFrame:
-    """``node, cid, m, pivot`` of nodes with two sets or more, counted in the tasks first."""
-    nodes = rows.groupBy("node").agg(F.count("*").alias("m"), F.min("cid").alias("pivot")).where("m > 1")
-    return rows.join(nodes, "node")
+    """``node, cid, pivot`` of nodes with two sets or more, counted in the tasks first.
+
+    A node's pivot is drawn by a hash, so that a large group of near copies is likely to give it.
+    """
+    drawn = F.struct(F.xxhash64("node", "cid").alias("draw"), F.col("cid"))
+    nodes = rows.groupBy("node").agg(F.count("*").alias("m"), F.min(drawn).alias("first")).where("m > 1")
+    return rows.join(nodes.select("node", F.col("first.cid").alias("pivot")), "node")
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """``node, cid, component, m`` of the nodes whose sets are not all connected."""
+    nodes = rows.groupBy("node").agg(
+        F.count("*").alias("m"), F.min("component").alias("c1"), F.max("component").alias("c2")
+    )
+    return rows.join(nodes.where("c1 <> c2").select("node", "m"), "node")
+
+
+def _unconnected(rows: DataFrame) -> DataFrame:
+    """``a, b``: all pairs of a node that are not connected; for small nodes."""
+    here = rows.select("node", F.col("cid").alias("a"), F.col("component").alias("ca"))
+    there = rows.select("node", F.col("cid").alias("b"), F.col("component").alias("cb"))
+    return here.join(there, "node").where("a < b and ca <> cb").select("a", "b").distinct()
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
@@ -204,29 +227,36 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, settings:
 
 
 def links(classes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """``a, b``: confirmed links between classes that connect all that the trees bring together."""
+    """``a, b``: confirmed links between classes that connect all that the trees bring together.
+
+    Full sets are needed twice: for the pairs with pivots, and for all pairs of small nodes
+    that the links so far leave unconnected. Between the two, large nodes are branched by
+    their sketches alone, several levels at a time.
+    """
     spark = classes.sparkSession
-    found: list[DataFrame] = []
-    rows = _rooted(classes, settings)
-    for level in range(settings.first_levels, settings.levels + 1):
-        members = stored(spark, _members(rows), "members")
-        star = members.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
-        found.append(_confirmed(_likely(star, classes, settings), classes, texts, settings))
-        parts = components(reduce(DataFrame.unionAll, found))
-        named = members.join(parts.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        apart = named.groupBy("node").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("node")
-        open_rows = stored(spark, named.join(apart, "node").select("node", "cid", "m", "component"), "open-nodes")
-        last = level == settings.levels
-        some = open_rows if last else open_rows.where(F.col("m") <= settings.small)
-        here = some.select("node", F.col("cid").alias("a"), F.col("component").alias("ca"))
-        there = some.select("node", F.col("cid").alias("b"), F.col("component").alias("cb"))
-        pairs = here.join(there, "node").where("a < b and ca <> cb").select("a", "b")
-        found.append(_confirmed(_likely(pairs, classes, settings), classes, texts, settings))
-        large = open_rows.where(F.col("m") > settings.small)
-        if last or large.isEmpty():
+    members = stored(spark, _members(_rooted(classes, settings)), "members")
+    star = members.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
+    found = _confirmed(_likely(star, classes, settings), classes, texts, settings)
+    parts = components(found).withColumnRenamed("id", "cid")
+    named = members.join(parts, "cid", "left").select("node", "cid", F.coalesce("component", "cid").alias("component"))
+    rows = stored(spark, _open(named), "open-nodes")
+    pairs, sketches, level = [], None, settings.first_levels
+    while level < settings.levels:
+        pairs.append(_unconnected(rows.where(F.col("m") <= settings.small)))
+        large = rows.where(F.col("m") > settings.small)
+        if large.isEmpty():
             break
-        rows = _branched(large.select("node", "cid"), classes, settings)
-    return reduce(DataFrame.unionAll, found)
+        if sketches is None:
+            some = large.select("cid", "component").distinct()
+            sketches = stored(spark, some.join(classes.select("cid", "sketch"), "cid"), "sketches")
+        below = _branched(large.select("node", "cid").join(sketches, "cid"), settings)
+        rows = stored(spark, _open(below.join(sketches.select("cid", "component"), "cid")), "open-nodes")
+        level += settings.step
+    else:
+        # As deep as the trees go: what is left is compared whatever the size of its node.
+        pairs.append(_unconnected(rows))
+    rest = reduce(DataFrame.unionAll, pairs)
+    return found.unionAll(_confirmed(_likely(rest, classes, settings), classes, texts, settings))
 
 
 def _in_components(texts: DataFrame, settings: Settings) -> DataFrame:

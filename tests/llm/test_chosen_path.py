@@ -86,7 +86,7 @@ def test_groups_of_near_copies_and_chains(spark, small):
 
 def test_all_levels_are_used(spark):
     texts = variants(5, 40, 300, 4)
-    settings = c.Settings(small=2, first_levels=1, levels=2, trees=16)
+    settings = c.Settings(small=2, first_levels=1, step=1, levels=2, trees=16)
     assert check(as_docs(spark, list(enumerate(texts))), settings) > 5
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..plans.workspace import stored
 from .graph import components
-from .substrings import text_key, texts_of, with_texts
+from .substrings import text_key, texts_of
 from .tasks import map_arrow
 from .words import U64, Words, blocks, hash_windows, mix
 
@@ -189,7 +189,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFra
 def _sets(classes: DataFrame, wanted: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """``cid, shingles``: the sorted full sets of the wanted classes, packed."""
     places = wanted.join(classes.select("cid", "k", "tag"), "cid")
-    rows = with_texts(places, texts).select("cid", "text")
+    rows = texts.join(places, ["k", "tag"]).select("cid", "text")
 
     def each(batch):
         for w in blocks(batch.column("text"), lower=True):
@@ -314,7 +314,7 @@ def without_near_duplicates(docs: DataFrame, settings: Settings = Settings()) ->
     best = placed.groupBy("component").agg(F.min(F.struct("id", "k", "tag")).alias("best")).select("component", "best.*")
     kept = placed.join(best, ["component", "id", "k", "tag"]).dropDuplicates(["component", "id", "k", "tag"])
     chosen = stored(spark, kept.select("row", "k", "tag"), "kept-rows")
-    out = with_texts(chosen, texts).select(
+    out = chosen.join(texts, ["k", "tag"]).select(
         *[F.col("text") if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns]
     )
     return out.unionAll(docs.where(alone))

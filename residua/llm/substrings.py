@@ -90,17 +90,18 @@ def spans_of(w: Words, settings: Settings) -> Spans:
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
-    """Every distinct text once, bucketed by its hash ``k`` so that later joins leave it in place.
+    """Every distinct text once, bucketed by ``k, tag`` so that later joins leave it in place.
 
-    ``tag`` is part of a second hash; both together identify the text. ``n_rows`` counts its
-    copies, which are added up in the tasks before the shuffle.
+    ``k`` is a hash of the text and ``tag`` part of a second one; both together identify it.
+    ``n_rows`` counts its copies, which are added up in the tasks before the shuffle, and that
+    shuffle deals the rows out as the buckets want them: a task writes one file a bucket.
     """
     spark = docs.sparkSession
     keyed = docs.select(*text_key(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     once = keyed.groupBy("k", "tag").agg(F.count("*").alias("n_rows"), F.first("text").alias("text"))
     name = f"residua_texts_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    once.write.option("path", new_path(spark, "texts")).format("parquet").bucketBy(parts, "k").saveAsTable(name)
+    once.write.option("path", new_path(spark, "texts")).format("parquet").bucketBy(parts, "k", "tag").saveAsTable(name)
     return spark.table(name)
 
 
@@ -109,16 +110,6 @@ def text_key() -> tuple:
     return F.xxhash64(text).alias("k"), F.conv(F.substring(F.md5(text.cast("binary")), 1, 3), 16, 10).cast("int").alias("tag")
 
 
-def with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """``rows`` (``k, tag`` and others) with ``text``; the bucketed texts are not moved.
-
-    The tags are compared by difference: as a join key they would call for a shuffle by both.
-    """
-    held = texts.select(F.col("k").alias("_tk"), F.col("tag").alias("_tt"), "text")
-    joined = held.join(rows, (F.col("_tk") == F.col("k")) & (F.col("_tt") - F.col("tag") == 0))
-    return joined.drop("_tk", "_tt")
-
-
 def _anchors(texts: DataFrame, settings: Settings) -> DataFrame:
     """``hash, k, place``: the anchor of every span; the place holds tag and first window."""
 
@@ -259,9 +250,10 @@ def stretches(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
     # Hits are narrow; a hot anchor's are split by adaptive execution, as both sides are scans.
     hits = _anchors(texts, settings).join(shared, "hash")
+    tag = F.shiftright("place", _PLACE_BITS).cast("int").alias("tag")
     coded = F.shiftleft("place", 1).bitwiseOR(F.col("hot").cast("bigint"))
-    places = hits.groupBy("k").agg(F.collect_list(coded).alias("places"))
-    spans = stored(spark, _contents(texts.join(places, "k").select("k", "tag", "text", "places"), settings), "spans")
+    places = hits.groupBy("k", tag).agg(F.collect_list(coded).alias("places"))
+    spans = stored(spark, _contents(texts.join(places, ["k", "tag"]).select("k", "tag", "text", "places"), settings), "spans")
     cold = _subtrees(spans.where("not hot"), settings)
     # Copies of a passage agree in all words, so they are counted before they are moved.
     suffixes = _windows(spans.where("hot"), settings)
@@ -298,14 +290,15 @@ def _kept_text(w: Words, i: int, keep: np.ndarray, whole_runs: bool) -> bytes:
 
 def applied(texts: DataFrame, found: DataFrame, settings: Settings, with_text: bool) -> DataFrame:
     """What stays of each distinct text: counts, and its digest or its new text if it changed."""
-    per_text = found.groupBy("k").agg(F.collect_list(F.struct("place", "n")).alias("s")).select(
-        "k", F.col("s.place").alias("places"), F.col("s.n").alias("lengths")
+    tag = F.shiftright("place", _PLACE_BITS).cast("int").alias("tag")
+    per_text = found.groupBy("k", tag).agg(F.collect_list(F.struct("place", "n")).alias("s")).select(
+        "k", "tag", F.col("s.place").alias("places"), F.col("s.n").alias("lengths")
     )
-    rows = texts.join(per_text, "k", "left").select("k", "tag", "n_rows", "text", "places", "lengths")
+    rows = texts.join(per_text, ["k", "tag"], "left").select("k", "tag", "n_rows", "text", "places", "lengths")
     mask = (1 << _PLACE_BITS) - 1
 
     def each(batch):
-        copies, tags = batch.column("n_rows").to_numpy(), batch.column("tag").to_numpy().astype(np.int64)
+        copies = batch.column("n_rows").to_numpy()
         places, lengths = batch.column("places"), batch.column("lengths")
         for w in blocks(batch.column("text")):
             at, hashes = w.windows(settings.window)
@@ -318,8 +311,7 @@ def applied(texts: DataFrame, found: DataFrame, settings: Settings, with_text: b
                 row = w.first + i
                 p = np.array(places[row].as_py() or [], np.int64)
                 size = np.array(lengths[row].as_py() or [], np.int64)
-                mine = p >> _PLACE_BITS == tags[row]
-                keep = _kept(w, i, copies[row], p[mine] & mask, size[mine], local[edges[i] : edges[i + 1]], settings.window)
+                keep = _kept(w, i, copies[row], p & mask, size, local[edges[i] : edges[i + 1]], settings.window)
                 removed = len(keep) - int(keep.sum())
                 out["n_words"].append(len(keep))
                 out["n_removed"].append(removed)

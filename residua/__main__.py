@@ -15,12 +15,17 @@ from residua.sources import read_index_map_folder, read_sequences_csv, read_shar
 
 
 def sequences(spark, a):
-    corpus.fasta_to_sequences(spark, a.input_path, a.output_path, a.csv)
+    corpus.fasta_to_sequences(spark, a.input_path, a.output_path, a.csv, partitions=a.partitions)
 
 
 def tokenise(spark, a):
+    counts = (a.train_files, a.test_files)
+    if any(counts) and not all(counts):
+        raise SystemExit("--train_files and --test_files go together")
+    if any(counts) and (a.tasks or a.rows_per_file):
+        raise SystemExit("file counts leave no choice of --tasks and --rows_per_file")
     rows = read_sequences_csv(spark, a.input_path) if a.csv else spark.read.parquet(a.input_path)
-    if a.train_files and a.test_files:
+    if all(counts):
         files = {"train": a.train_files, "test": a.test_files}
         corpus.write_corpus_in_files(rows, a.output_path, a.sequence_length, files, seed=a.seed)
     else:
@@ -34,13 +39,15 @@ def index(spark, a):
 
 
 def epoch(spark, a):
-    shards = read_shards(spark, f"{a.input_path}/split=train")
-    files = read_index_map_folder(spark, a.index_path, "train_index_map")
+    shards = read_shards(spark, f"{a.input_path}/split={a.split}")
+    files = read_index_map_folder(spark, a.index_path, f"{a.split}_index_map")
+    # Evaluation keeps the order of the first epoch.
+    number = a.epoch if a.split == "train" else 0
     rows = epochs.epoch_samples(
-        with_global_index(shards, files), a.world_size, a.batch_size, a.sequence_length,
-        a.seed, a.epoch,
+        with_global_index(shards, files), a.world_size, a.batch_size, a.seed, number,
+        batches_per_file=a.batches_per_file, tasks=a.tasks, shuffle=not a.unshuffled,
     )
-    epochs.write_epoch(rows, a.output_path, a.batches_per_file, a.tasks, mode="append")
+    epochs.write_epoch(rows, a.output_path, number)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -56,6 +63,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = stage("sequences", sequences)
     sub.add_argument("--csv", action="store_true")
+    sub.add_argument("--partitions", type=int, help="tasks after the scan, for gzip input")
 
     sub = stage("tokenise", tokenise)
     sub.add_argument("--csv", action="store_true")
@@ -70,7 +78,8 @@ def parser() -> argparse.ArgumentParser:
 
     sub = stage("epoch", epoch)
     sub.add_argument("--index_path", required=True)
-    sub.add_argument("--sequence_length", type=int, required=True)
+    sub.add_argument("--split", choices=corpus.SPLITS, default="train")
+    sub.add_argument("--unshuffled", action="store_true")
     sub.add_argument("--world_size", type=int, required=True)
     sub.add_argument("--batch_size", type=int, required=True)
     sub.add_argument("--batches_per_file", type=int, default=1000)

@@ -30,7 +30,7 @@ ELAPSED_PATTERNS = {
 # The captures above stop at an overflow ("inf") or a positive exponent; this one
 # reads both.
 NARROW_CAPTURE = "([0-9.e-]*)"
-WIDE_CAPTURE = "([0-9.]+(?:e[+-]?[0-9]+)?|inf|nan)"
+WIDE_CAPTURE = "(-?[0-9.]+(?:e[+-]?[0-9]+)?|-?inf|nan)"
 
 WIDE_METRIC_PATTERNS = {
     name: pattern.replace(NARROW_CAPTURE, WIDE_CAPTURE)
@@ -49,8 +49,20 @@ def rate(amount: Column, seconds: Column) -> Column:
 
 
 def _fixed(value: Column) -> Column:
-    text = F.format_string("%.4f", value.cast("double"))
-    return F.when(value.cast("double") == float("inf"), F.lit("inf")).otherwise(text)
+    number = value.cast("double")
+    return (
+        F.when(F.isnan(number), F.lit("nan"))
+        .when(number == float("inf"), F.lit("inf"))
+        .when(number == float("-inf"), F.lit("-inf"))
+        .otherwise(F.format_string("%.4f", number))
+    )
+
+
+def _decimal(value: Column) -> Column:
+    """A float as text without an exponent."""
+    number = F.abs(value.cast("double"))
+    plain = (number == 0) | ((number >= 1e-3) & (number < 1e7))
+    return F.when(plain, value.cast("string")).otherwise(F.format_string("%.9f", value.cast("double")))
 
 
 def metric_line(
@@ -65,15 +77,16 @@ def metric_line(
     """One report as text. Training steps print as a float, evaluation steps do not."""
     if prefix not in ("Training", "Eval"):
         raise ValueError(f"prefix must be 'Training' or 'Eval', got {prefix!r}")
-    step_text = step.cast("double") if prefix == "Training" else step.cast("bigint")
+    shown = F.format_string("%.1f", step.cast("double")) if prefix == "Training" else step.cast("bigint").cast("string")
+    # The words of a line.
     return F.concat(
         F.lit("Epoch: "), epoch.cast("string"),
-        F.lit(", Step: "), step_text.cast("string"),
+        F.lit(", Step: "), shown,
         F.lit(f", {prefix} Loss: "), _fixed(loss),
         F.lit(f", {prefix} Perplexity: "), _fixed(perplexity(loss)),
         F.lit(f", {prefix} Samples/sec: "), _fixed(samples_per_second),
         F.lit(f", {prefix} Tokens/sec: "), _fixed(tokens_per_second),
-        F.lit(f", {prefix} Total time taken for the step :"), seconds.cast("string"),
+        F.lit(f", {prefix} Total time taken for the step :"), _decimal(seconds),
     )
 
 

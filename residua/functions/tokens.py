@@ -108,6 +108,11 @@ def attention_mask(real: Column, max_length: int) -> Column:
     return F.slice(ones_then_zeros, F.lit(max_length + 1) - real, max_length)
 
 
+def mask_of_length(real: Column, length: Column) -> Column:
+    """``real`` ones followed by zeros, as long as the row's ids."""
+    return F.concat(F.array_repeat(F.lit(1), real), F.array_repeat(F.lit(0), length - real))
+
+
 def real_length(mask: Column) -> Column:
     """Tokens in front of the padding: where the first zero of a mask is."""
     first_pad = F.array_position(mask, 0).cast("int")

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.workspace import stored
+
 
 def rows_per_file(shards: DataFrame, file_col: str = "file_name") -> DataFrame:
     return shards.groupBy(F.col(file_col).alias("file_name")).agg(
@@ -13,13 +15,21 @@ def rows_per_file(shards: DataFrame, file_col: str = "file_name") -> DataFrame:
 def index_map(shards: DataFrame, file_col: str = "file_name") -> DataFrame:
     """``file_name, num_sequences, start_line, end_line``, both ends inclusive.
 
-    Rows are first counted per file, map side included; the running total then sees
-    one row per file, which is why its single partition is enough.
+    Rows are counted per file, map side included. The files are then dealt by ranges of their
+    names and written with the number of their range; running totals are taken within each
+    range, and the totals of the ranges before it, one row per range, are added.
     """
-    in_name_order = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, 0)
-    through = F.sum("num_sequences").over(in_name_order)
+    spark = shards.sparkSession
+    ranged = rows_per_file(shards, file_col).repartitionByRange("file_name")
+    counted = stored(spark, ranged.withColumn("_range", F.spark_partition_id()), "rows-per-file")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.groupBy("_range").agg(F.sum("num_sequences").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    )
+    in_name_order = Window.partitionBy("_range").orderBy("file_name").rowsBetween(Window.unboundedPreceding, 0)
+    through = F.col("_offset") + F.sum("num_sequences").over(in_name_order)
     return (
-        rows_per_file(shards, file_col)
+        counted.join(offsets, "_range")
         .withColumn("end_line", through - 1)
         .withColumn("start_line", F.col("end_line") - F.col("num_sequences") + 1)
         .select("file_name", "num_sequences", "start_line", "end_line")
@@ -44,6 +54,9 @@ def first_files(index: DataFrame, k: int) -> DataFrame:
     return index.orderBy("start_line").limit(k)
 
 
-def write_index_map(index: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One CSV file with a header. Keep it beside the shards, not among them."""
-    index.coalesce(1).write.mode(mode).option("header", True).csv(path)
+def write_index_map(
+    index: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False
+) -> None:
+    """CSV files with a header, or one. Keep them beside the shards, not among them."""
+    rows = index.coalesce(1) if single_file else index
+    rows.write.mode(mode).option("header", True).csv(path)

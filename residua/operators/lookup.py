@@ -3,66 +3,59 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.sizing import broadcast_if_small, fetch, is_small, skew_safe_join
-
-# Most shards to name in a scan filter; past it the whole directory is scanned.
-NAMED_FILES = 1000
-
-# Pieces a file's rows are spread over when the index map is too big to broadcast.
-FILE_PARTS = 64
+# Sizes of files as powers of two; a file's level is the power that it reaches.
+_MOST_LEVEL = 62
 
 
 def with_global_index(shards: DataFrame, index: DataFrame) -> DataFrame:
     """Adds ``global_idx``, dense over all shards; needs ``file_name, row_index``.
 
-    The map has one row per file and is broadcast if counted to be small, so the rows
-    do not move. Otherwise both sides are shuffled, with every file's rows in parts.
+    The map has one row per file; Spark sends it to the rows while it is small.
     """
-    starts, small = broadcast_if_small(index.select("file_name", "start_line"))
-    if small:
-        joined = shards.join(starts, "file_name")
-    else:
-        parts = F.explode(F.sequence(F.lit(0), F.lit(FILE_PARTS - 1)))
-        joined = (
-            shards.withColumn("_part", F.pmod(F.col("row_index"), F.lit(FILE_PARTS)).cast("int"))
-            .join(starts.withColumn("_part", parts), ["file_name", "_part"])
-            .drop("_part")
-        )
+    starts = index.select("file_name", "start_line")
+    joined = shards.join(starts, "file_name")
     return joined.withColumn("global_idx", F.col("start_line") + F.col("row_index")).drop(
         "start_line"
     )
 
 
-def locate(
-    requests: DataFrame,
-    index: DataFrame,
-    bin_size: int | None = None,
-    idx_col: str = "idx",
-    distinct: bool = False,
-) -> DataFrame:
-    """Adds ``file_name`` and ``local_row``; both NULL for a position out of range.
+def _level(rows: Column) -> Column:
+    return F.least(F.floor(F.log2(rows.cast("double"))).cast("int"), F.lit(_MOST_LEVEL))
+
 
-    Ranges and requests meet on a bin number, so this is an equi-join and not a nested
-    loop; the range test stays in the condition. Ranges are disjoint: one match at most.
-    ``bin_size`` defaults to the mean rows per file, at most two bins per file plus one
-    per bin of a big file.
+def spots(positions: DataFrame, index: DataFrame, idx_col: str = "idx") -> DataFrame:
+    """``idx, file_name, local_row`` of distinct positions that some file holds.
+
+    Files of 2**k to 2**(k+1) - 1 rows meet the positions in bins of 2**k, so a bin overlaps
+    three of them at most, however uneven the files are. A position is looked for once per
+    level that occurs.
     """
-    if bin_size is None:
-        mean = index.agg(F.max("end_line").alias("last"), F.count("*").alias("files")).first()
-        bin_size = max(1, ((mean["last"] or 0) + 1) // max(1, mean["files"]))
-    first, last = (F.floor(F.col(c) / bin_size).cast("bigint") for c in ("start_line", "end_line"))
-    binned = index.select(
-        "file_name", "start_line", "end_line", F.explode(F.sequence(first, last)).alias("_bin")
+    files = index.where("num_sequences > 0").withColumn("_level", _level(F.col("num_sequences")))
+    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_level"))
+    first, last = (F.floor(F.col(c) / size).cast("bigint") for c in ("start_line", "end_line"))
+    ranges = files.select(
+        "file_name", "start_line", "end_line", "_level", F.explode(F.sequence(first, last)).alias("_bin")
     )
-    asked = requests.withColumn("_bin", F.floor(F.col(idx_col) / bin_size).cast("bigint"))
+    levels = files.agg(F.collect_set("_level")).scalar()
+    asked = positions.withColumn("_level", F.explode(levels))
+    asked = asked.withColumn("_bin", F.floor(F.col(idx_col) / size).cast("bigint"))
     inside = (F.col("start_line") <= F.col(idx_col)) & (F.col("end_line") >= F.col(idx_col))
-    if is_small(binned):
-        ranges = F.broadcast(binned.withColumnRenamed("_bin", "_range_bin"))
-        found = asked.join(ranges, (F.col("_bin") == F.col("_range_bin")) & inside, "left")
-    else:
-        found = skew_safe_join(asked, binned, ["_bin"], "left", inside, distinct)
     row = (F.col(idx_col) - F.col("start_line")).alias("local_row")
-    return found.select(*requests.columns, "file_name", row)
+    return asked.join(ranges, ["_level", "_bin"]).where(inside).select(idx_col, "file_name", row)
+
+
+def _positions(requests: DataFrame, idx_col: str) -> DataFrame:
+    return requests.select(F.col(idx_col).cast("bigint").alias(idx_col)).where(F.col(idx_col).isNotNull()).distinct()
+
+
+def locate(requests: DataFrame, index: DataFrame, idx_col: str = "idx") -> DataFrame:
+    """Adds ``file_name`` and ``local_row``; both NULL for a position out of range.
+
+    Distinct positions meet the ranges; a position that many requests share is split by
+    adaptive execution where the requests come back.
+    """
+    found = spots(_positions(requests, idx_col), index, idx_col)
+    return requests.join(found, idx_col, "left").select(*requests.columns, "file_name", "local_row")
 
 
 def _required(column: str, key: str) -> Column:
@@ -89,36 +82,40 @@ def lookup_positions(
     """Every request with its sample's columns.
 
     ``dense`` numbers all rows and joins on the number: for requests that touch much
-    of the data. ``binned`` first resolves requests to file and row, then opens only
-    the shards that are asked for. A position out of range gives NULLs, or with
-    ``strict`` fails the job.
+    of the data. ``binned`` first resolves the distinct positions to file and row, and only
+    the rows that are asked for go on. No job runs while the plan is built. A position out
+    of range gives NULLs, or with ``strict`` fails the job.
     """
     sample = [c for c in shards.columns if c not in ("file_name", "row_index")]
     if strategy == "dense":
         rows = with_global_index(shards, index).withColumnRenamed("global_idx", idx_col)
-        rows = rows.select(idx_col, *sample, F.lit(True).alias("_found"))
-        joined = fetch(requests, rows, [idx_col])
     elif strategy == "binned":
-        located = locate(requests, index, idx_col=idx_col)
-        rows = shards.withColumnRenamed("row_index", "local_row").select(
-            "file_name", "local_row", *sample, F.lit(True).alias("_found")
-        )
-        names = located.select("file_name").where("file_name is not null").distinct()
-        wanted = [r.file_name for r in names.take(NAMED_FILES + 1)]
-        if len(wanted) <= NAMED_FILES:
-            rows = rows.where(F.col("file_name").isin(wanted))
-        joined = fetch(located, rows, ["file_name", "local_row"])
+        wanted = spots(_positions(requests, idx_col), index, idx_col)
+        rows = shards.withColumnRenamed("row_index", "local_row").join(wanted, ["file_name", "local_row"])
     else:
         raise ValueError(f"strategy must be 'dense' or 'binned', got {strategy!r}")
+    rows = rows.select(idx_col, *sample, F.lit(True).alias("_found"))
+    joined = requests.join(rows, idx_col, "left")
     return _finish(joined, requests.columns, sample, idx_col, strict)
 
 
 def lookup_keys(
-    requests: DataFrame, items: DataFrame, key: str = "sequence_id", strict: bool = False
+    requests: DataFrame,
+    items: DataFrame,
+    key: str = "sequence_id",
+    strict: bool = False,
+    unique: bool = True,
 ) -> DataFrame:
-    """Every request with the item stored under its key; items bucketed by key stay put."""
+    """Every request with the item stored under its key; items bucketed by key stay put.
+
+    The store holds one item a key. With ``unique`` that is taken as given; otherwise of items
+    that share a key the least by all columns is kept.
+    """
+    if not unique:
+        rest = [c for c in items.columns if c != key]
+        items = items.groupBy(key).agg(F.min(F.struct(*rest)).alias("_item")).select(key, "_item.*")
     rows = items.withColumn("_found", F.lit(True))
-    joined = fetch(requests, rows, [key])
+    joined = requests.join(rows, key, "left")
     return _finish(joined, requests.columns, items.columns, key, strict)
 
 

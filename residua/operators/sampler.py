@@ -53,6 +53,20 @@ def permutation(
     return _with_position(df, key, id_col, bucket)
 
 
+def _by_id(df: DataFrame, id_col: str) -> DataFrame:
+    """Adds ``pos`` in id order and ``_rows``; the ids are checked to be dense and unique."""
+    number = F.col(id_col).cast("bigint")
+    facts = df.agg(F.struct(
+        F.min(number).alias("low"), F.max(number).alias("high"), F.count("*").alias("rows"),
+        F.count_distinct(number).alias("ids"),
+    )).scalar()
+    low, high, rows, ids = (facts.getField(name) for name in ("low", "high", "rows", "ids"))
+    dense = (ids == rows) & (high - low + 1 == rows)
+    message = F.lit(f"{id_col} is not dense and unique")
+    checked = F.when(dense, number - low).otherwise(F.raise_error(message).cast("bigint"))
+    return df.withColumn("pos", checked).withColumn("_rows", rows)
+
+
 def epoch_assignment(
     df: DataFrame,
     world_size: int,
@@ -65,15 +79,14 @@ def epoch_assignment(
 ) -> DataFrame:
     """Adds ``pos, rank, rank_pos, batch``; the other columns travel along.
 
-    ``id_col`` is unique; with ``shuffle=False`` it is also dense from 0, like
-    ``global_idx``, and becomes the position. Rows are repeated from the beginning
-    until every rank has the same number.
+    ``id_col`` is unique; with ``shuffle=False`` it is also dense, like ``global_idx``, and
+    its distance from the least id becomes the position. Ids with gaps or copies fail the
+    job. Rows are repeated from the beginning until every rank has the same number.
     """
     if shuffle:
         placed = permutation(df, id_col, seed, epoch, bucket_bits)
     else:
-        rows = df.agg(F.count("*")).scalar()
-        placed = df.withColumn("pos", F.col(id_col).cast("bigint")).withColumn("_rows", rows)
+        placed = _by_id(df, id_col)
     rounds = F.ceil(F.col("_rows") / world_size)
     positions = F.sequence(F.col("pos"), rounds * world_size - 1, F.col("_rows"))
     return (
@@ -85,8 +98,13 @@ def epoch_assignment(
     )
 
 
-def packed_batches(assigned: DataFrame, columns, keys=("rank", "batch")) -> DataFrame:
-    """One row per batch with its samples in order; a batch holds ``batch_size`` rows."""
+def packed_batches(assigned: DataFrame, columns, keys=None) -> DataFrame:
+    """One row per batch with its samples in order; a batch holds ``batch_size`` rows.
+
+    ``keys`` default to rank and batch, and the epoch if there is one.
+    """
+    if keys is None:
+        keys = [*(["epoch"] if "epoch" in assigned.columns else []), "rank", "batch"]
     sample = F.struct("rank_pos", *columns)
     rows = F.sort_array(F.collect_list(sample))
     return assigned.groupBy(*keys).agg(rows.alias("samples"))

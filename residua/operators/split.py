@@ -1,12 +1,16 @@
 """Reproducible train/test split and the shard writers."""
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_key, seeded_hash
+from ..functions.hashing import HASH_BITS, hash_key, seeded_hash
+
 
-# Resolution of a split: shares are honoured to one part in this many.
-BUCKETS = 10_000
+def split_threshold(train: float) -> int:
+    """Hashes below it are on the train side: the share of the whole range."""
+    return int(Fraction(str(train)) * 2**HASH_BITS)
 
 
 def hash_split(
@@ -17,8 +21,8 @@ def hash_split(
     Independent of partitioning and row order, and a projection: no sort, no shuffle.
     Rows with the same key land on the same side.
     """
-    bucket = seeded_hash(seed, hash_key(df, key), name=hash) % BUCKETS
-    side = F.when(bucket < round(train * BUCKETS), "train").otherwise("test")
+    place = seeded_hash(seed, hash_key(df, key), name=hash)
+    side = F.when(place < split_threshold(train), "train").otherwise("test")
     return df.withColumn("split", side)
 
 
@@ -48,6 +52,14 @@ def spread_by_id(df: DataFrame, id_col: str, rows_per_file: int) -> DataFrame:
     return df.repartitionById(files, file_no).sortWithinPartitions(id_col)
 
 
+def files_for(df: DataFrame, rows_per_file: int) -> int:
+    """How many files hold about ``rows_per_file`` rows each, whatever the ids are.
+
+    Counts the rows; columns are not read.
+    """
+    return max(1, -(-df.count() // rows_per_file))
+
+
 def write_shards(
     df: DataFrame,
     path: str,
@@ -72,4 +84,5 @@ def write_shards(
 
 
 def write_sequences_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.select("sequence", "sequence_id").write.mode(mode).option("header", True).csv(path)
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.select("sequence", "sequence_id").write.mode(mode).options(**options).csv(path)

@@ -13,10 +13,18 @@ SPLITS = ("train", "test")
 
 
 def fasta_to_sequences(
-    spark: SparkSession, fasta: str, out: str, as_csv: bool = False, mode: str = "errorifexists"
+    spark: SparkSession,
+    fasta: str,
+    out: str,
+    as_csv: bool = False,
+    mode: str = "errorifexists",
+    partitions: int | None = None,
 ) -> None:
-    """Records of FASTA files as a table; Parquet unless CSV is asked for."""
-    records = read_fasta(spark, fasta)
+    """Records of FASTA files as a table; Parquet unless CSV is asked for.
+
+    ``partitions`` spreads the records, for gzip input.
+    """
+    records = read_fasta(spark, fasta, partitions)
     if as_csv:
         write_sequences_csv(records, out, mode)
     else:
@@ -70,8 +78,10 @@ def write_corpus_in_files(
 ) -> None:
     """Same shards with an exact file count per split, one pass for each.
 
-    A pass reads the sequences again but tokenises its own rows only.
+    Both splits need a count. A pass reads the sequences again but tokenises its own rows only.
     """
+    if set(files) != set(SPLITS):
+        raise ValueError(f"a file count is needed for each of {SPLITS}, got {sorted(files)}")
     split = hash_split(sequences, "sequence_id", train, seed)
     for name, count in files.items():
         part = spread(split.where(F.col("split") == name), count)

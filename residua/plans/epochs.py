@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tokens import attention_mask, real_length
+from ..functions.tokens import mask_of_length, real_length
 from ..functions.vocabulary import ESM2, Vocabulary
 from ..operators.masking import mask_tokens
 from ..operators.sampler import epoch_assignment
@@ -13,39 +13,45 @@ def epoch_samples(
     samples: DataFrame,
     world_size: int,
     batch_size: int,
-    max_length: int,
     seed: int = 0,
     epoch: int = 0,
     id_col: str = "global_idx",
     probability: float = 0.15,
     vocab: Vocabulary = ESM2,
+    batches_per_file: int | None = None,
+    tasks: int | None = None,
+    shuffle: bool = True,
 ) -> DataFrame:
     """Every sample of the epoch with rank, batch, corrupted ids, mask and labels.
 
-    Only the id, the token ids and the real length go through the shuffle; the
-    attention mask follows from the length, and masking runs on the far side.
+    Only the id, the token ids and the real length go through the shuffles; the attention
+    mask, as long as the ids, follows from the length, and masking runs on the far side. With
+    ``tasks`` the rows are dealt by (rank, run of ``batches_per_file`` batches) before that,
+    as ``write_epoch`` wants them.
     """
     length = real_length(F.col("attention_mask")).alias("_length")
     narrow = samples.select(id_col, "input_ids", length)
-    placed = epoch_assignment(narrow, world_size, batch_size, seed, epoch, id_col=id_col)
-    rebuilt = placed.withColumn("attention_mask", attention_mask(F.col("_length"), max_length))
+    placed = epoch_assignment(narrow, world_size, batch_size, seed, epoch, shuffle, id_col=id_col)
+    if tasks:
+        run = F.floor(F.col("batch") / batches_per_file)
+        placed = placed.repartition(tasks, "rank", run).sortWithinPartitions("rank", "batch", "rank_pos")
+    mask = mask_of_length(F.col("_length"), F.size("input_ids"))
+    rebuilt = placed.withColumn("attention_mask", mask)
     masked = mask_tokens(rebuilt.drop("_length"), id_col, probability, seed, epoch, vocab)
     return masked.withColumn("epoch", F.lit(epoch))
 
 
 def write_epoch(
-    rows: DataFrame, path: str, batches_per_file: int, tasks: int, mode: str = "errorifexists"
+    rows: DataFrame, path: str, epoch: int, mode: str = "errorifexists"
 ) -> None:
-    """``epoch=…/rank=…`` directories in batch order.
+    """``epoch=…/rank=…`` directories in batch order, of rows dealt out by ``epoch_samples``.
 
-    Rows are spread by (rank, run of batches), so a file belongs to one rank and no
-    rank is the work of a single task.
+    A file belongs to one rank and a run of batches, and no rank is the work of a single
+    task. An epoch that is there already is an error.
     """
-    run = F.floor(F.col("batch") / batches_per_file)
     (
-        rows.repartition(tasks, "rank", run)
-        .sortWithinPartitions("epoch", "rank", "batch", "rank_pos")
+        rows.where(F.col("epoch") == epoch).drop("epoch")
         .write.mode(mode)
-        .partitionBy("epoch", "rank")
-        .parquet(path)
+        .partitionBy("rank")
+        .parquet(f"{path.rstrip('/')}/epoch={epoch}")
     )

@@ -1,150 +1,12 @@
-"""Joins that hold when a side is large or a key is hot."""
+"""Helpers for inputs in few splits."""
 
-from collections.abc import Sequence
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# A table is broadcast only if it is counted to be at most this many rows.
-BROADCAST_ROWS = 200_000
-
-# Up to this many requests are sent to the rows instead of meeting them in a shuffle.
-FEW_REQUESTS = 20_000
-
-# A key is hot if it holds more than one row in this many, so there are fewer hot
-# keys than this, whatever the data: that bounds the table of hot keys.
-HOT_SHARE = 1000
-
-# Below this many rows per key a hot key is no trouble.
-HOT_ROWS = 100_000
-
-# Rows without a key match nothing, so they can go anywhere: over this many parts.
-NULL_PARTS = 1024
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows.
-
-    Takes partitions until that many constants have come in, so a large table is not
-    read to its end and no more than ``rows`` flags reach the driver.
-    """
-    return len(df.select(F.lit(True)).take(rows + 1)) <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    small = is_small(df, rows)
-    return (F.broadcast(df) if small else df), small
+from pyspark.sql import DataFrame
 
 
 def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Over all cores if the input comes in fewer partitions, else as it is.
+    """A scan over all cores if it reads fewer files than there are, else as it is.
 
-    For costly work on few input splits: gzip files, or tables of one row group.
+    For costly work on few input splits. Lists the files; no job runs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, hot_share: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and more than 1 in ``hot_share`` of all.
-
-    ``_parts`` is the number of pieces of about ``hot_rows`` rows each. Rows are counted
-    before the shuffle, so finding the hot keys has no hot task of its own.
-    """
-    total = df.agg(F.count("*")).scalar()
-    sums = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return sums.where((F.col("_n") > hot_rows) & (F.col("_n") * hot_share > total)).select(
-        *keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")
-    )
-
-
-def _without_copies(df: DataFrame, hot_rows: int) -> DataFrame:
-    """Equal rows once, with ``_copies``; more than ``hot_rows`` of them in chunks."""
-    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    chunks = F.ceil(F.col("_copies") / hot_rows).cast("int")
-    rest = F.col("_copies") - F.col("_chunk") * F.lit(hot_rows)
-    return counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).withColumn(
-        "_copies", F.least(F.lit(hot_rows).cast("bigint"), rest).cast("int")
-    )
-
-
-def skew_safe_join(
-    many: DataFrame,
-    other: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    condition: Column | None = None,
-    distinct: bool = False,
-    hot_rows: int = HOT_ROWS,
-    hot_share: int = HOT_SHARE,
-) -> DataFrame:
-    """Equi-join in which a key of ``many`` may hold any share of its rows.
-
-    A hot key is cut into parts by a hash of the row, and only the rows of ``other``
-    with a hot key are copied to every part; rows without a key are spread. Equal rows would hash alike, so they are
-    counted before the shuffle and restored after the join; ``distinct`` says that
-    ``many`` has none. ``condition`` is a further test on the columns of both sides.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
-    keys = list(keys)
-    hot = F.broadcast(hot_keys(many, keys, hot_rows, hot_share))
-    rows, row = many, [*many.columns]
-    if not distinct:
-        rows, row = _without_copies(many, hot_rows), [*many.columns, "_chunk"]
-    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    parts = F.when(keyless, F.lit(NULL_PARTS)).otherwise(F.coalesce(F.col("_parts"), F.lit(1)))
-    spot = F.pmod(F.xxhash64(*row), parts).cast("int")
-    left = rows.join(hot, keys, "left").withColumn("_part", spot)
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-    right = other.join(hot, keys, "left").withColumn("_other_part", F.explode(copies))
-    renamed = {k: f"_other_{k}" for k in keys}
-    right = right.drop("_parts").withColumnsRenamed(renamed)
-
-    match = F.col("_part") == F.col("_other_part")
-    for key, other_key in renamed.items():
-        match &= F.col(key) == F.col(other_key)
-    if condition is not None:
-        match &= condition
-    joined = left.join(right, match, how)
-    if not distinct:
-        joined = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))))
-    return joined.select(*many.columns, *[c for c in other.columns if c not in keys])
-
-
-def hot_apart_join(
-    many: DataFrame,
-    unique: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    hot_share: int = HOT_SHARE,
-) -> DataFrame:
-    """Left join to rows that are unique by ``keys``; a key of ``many`` may be hot.
-
-    Rows of ``many`` with a hot key or none stay where they are: the rows they need are
-    fewer than ``hot_share`` and are broadcast. The others meet ``unique`` in a plain
-    equi-join, which leaves it in place if it is bucketed by key. Without hot keys the
-    second branch is empty and adaptive execution drops it, scan included.
-    """
-    keys = list(keys)
-    hot = F.broadcast(hot_keys(many, keys, hot_rows, hot_share).withColumnRenamed("_parts", "_hot"))
-    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    flagged = many.join(hot, keys, "left").withColumn("_apart", F.col("_hot").isNotNull() | keyless)
-    wanted = F.broadcast(unique.join(hot.select(*keys), keys, "left_semi"))
-    columns = [*many.columns, *[c for c in unique.columns if c not in keys]]
-    cold = flagged.where(~F.col("_apart")).join(unique, keys, "left")
-    apart = flagged.where(F.col("_apart")).join(wanted, keys, "left")
-    return cold.select(*columns).unionAll(apart.select(*columns))
-
-
-def fetch(requests: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of requests to rows that are unique by ``keys``.
-
-    Few requests are sent to the rows, so that only hits are shuffled; many meet the
-    rows in a join that survives hot keys.
-    """
-    if not is_small(requests, FEW_REQUESTS):
-        return hot_apart_join(requests, rows, keys)
-    wanted = F.broadcast(requests.select(*keys).distinct())
-    return requests.join(rows.join(wanted, list(keys), "left_semi"), list(keys), "left")
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -18,7 +18,7 @@ FILES = 16
 def fasta_scan(t: Tables):
     """Gzip scan, one row per record, header and wrapped body still together."""
     records = fasta.record_text(t.spark, t.fasta_gzip)
-    return records.select(F.regexp_replace("value", r"^>|\n$", "").alias("record"))
+    return records.select(F.regexp_replace("value", r"\n$", "").alias("record"))
 
 
 def csv_scan(t: Tables):
@@ -60,9 +60,51 @@ def hash_split_text_key(t: Tables):
 
 
 def random_split(t: Tables):
-    """Unseeded row split: the sizes add up, the sides are not predictable."""
-    train, test = split.random_split(t.sequences.select("doc_id"))
-    return train.unionAll(test)
+    """Row split: disjoint sides of the right shares, the same for the same seed."""
+    def sides(df):
+        train, test = split.random_split(df, seed=SEED)
+        return train.withColumn("side", F.lit("train")).unionAll(test.withColumn("side", F.lit("test")))
+
+    ids = t("documents").select("doc_id")
+    once, again = sides(ids), sides(ids).withColumnRenamed("side", "other")
+    share = F.avg((F.col("side") == "train").cast("int"))
+    return once.join(again, "doc_id").agg(
+        F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids"),
+        share.between(0.65, 0.95).alias("share_holds"), F.every(F.col("side") == F.col("other")).alias("repeats"),
+    )
+
+
+def edge_records(t: Tables):
+    """Headers that are empty, begin with ``>`` or have no body, anywhere in a file."""
+    case = F.col("doc_id") % 4
+    header = F.when(case == 0, "").when(case == 1, F.concat(F.lit(">"), "sequence_id")).otherwise(F.col("sequence_id"))
+    body = F.when(case == 2, "").otherwise(F.concat(F.lit("\n"), F.substring("sequence", 1, 50)))
+    record = F.concat(F.lit(">"), header, body)
+    path = t.staged("edge-fasta", lambda path: t.sequences.select(record).write.text(path))
+    return read_fasta(t.spark, path)
+
+
+def written_csv(t: Tables):
+    """Ids that are empty or have blanks around them."""
+    case = F.col("doc_id") % 3
+    name = F.when(case == 0, "").when(case == 1, F.concat(F.lit(" "), "sequence_id", F.lit("  "))).otherwise(F.col("sequence_id"))
+    path = new_path(t.spark, "snk1")
+    split.write_sequences_csv(t.sequences.withColumn("sequence_id", name), path)
+    return read_sequences_csv(t.spark, path)
+
+
+def target_files(t: Tables):
+    """As many files as a target of rows per file asks for, whatever the ids are."""
+    rows = t.sequences.select("sequence_id")
+    path = new_path(t.spark, "target")
+    split.write_shards(rows, path, files=split.files_for(rows, 100))
+    return _file_sizes(t, path)
+
+
+def float_cast(t: Tables):
+    """Losses in single precision, as a training script logs them."""
+    loss = (F.col("value") / 997).cast("float")
+    return t("events").select("event_id", loss.cast("double").alias("loss"))
 
 
 def _file_sizes(t: Tables, path: str):
@@ -112,12 +154,10 @@ def path_functions(t: Tables):
 
 def register(r: Registry) -> None:
     sequences = f"SELECT sequence, sequence_id FROM ({SEQUENCES_SQL})"
-    bucket = f"{seeded_hash_sql(SEED, 'doc_id')} % 10000"
-    side = f"CASE WHEN {bucket} < 8000 THEN 'train' ELSE 'test' END"
+    limit = split.split_threshold(0.8)
+    side = f"CASE WHEN {seeded_hash_sql(SEED, 'doc_id')} < {limit} THEN 'train' ELSE 'test' END"
     digits = HASH_BITS // 4
-    md5_bucket = (
-        f"('0x' || substr(md5(concat('{SEED}:', sequence_id)), 1, {digits}))::BIGINT % 10000"
-    )
+    md5_place = f"('0x' || substr(md5(concat('{SEED}:', sequence_id)), 1, {digits}))::BIGINT"
 
     r.add("src1_fasta_scan", fasta_scan, f"""
         SELECT regexp_replace(record, chr(10) || '$', '') AS record FROM ({FASTA_SQL})""")
@@ -134,14 +174,29 @@ def register(r: Registry) -> None:
     r.add("spl1_hash_split", hash_split, f"""
         SELECT doc_id, {side} AS split FROM documents""")
     r.add("spl1_hash_split_text_key", hash_split_text_key, f"""
-        SELECT sequence_id, CASE WHEN {md5_bucket} < 8000 THEN 'train' ELSE 'test' END AS split
+        SELECT sequence_id, CASE WHEN {md5_place} < {limit} THEN 'train' ELSE 'test' END AS split
+        FROM ({SEQUENCES_SQL})""")
+    r.add("spl1_random_split", random_split, """
+        SELECT count(*) AS rows, count(*) AS ids, true AS share_holds, true AS repeats
+        FROM documents""")
+    r.add("prj1_edge_records", edge_records, f"""
+        SELECT CASE WHEN doc_id % 4 = 2 THEN '' ELSE substr(sequence, 1, 50) END AS sequence,
+               CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN concat('>', sequence_id)
+                    ELSE sequence_id END AS sequence_id
         FROM ({SEQUENCES_SQL})""")
-    r.add("spl1_random_split", random_split, "SELECT doc_id FROM documents")
+    r.add("par1_target_files", target_files, """
+        SELECT ceil(count(*) / 100)::BIGINT AS files, count(*) AS rows FROM documents""")
+    r.add("fun_cast_float", float_cast, """
+        SELECT event_id, (value / 997)::FLOAT::DOUBLE AS loss FROM events""")
     r.add("par1_round_robin_files", round_robin_files, f"""
         SELECT {FILES}::BIGINT AS files, count(*) AS rows FROM documents""")
     r.add("par1_bounded_files", bounded_files, """
         SELECT count(*) AS rows, true AS within_cap FROM documents""")
     r.add("snk1_sequences_csv", csv_scan, sequences)
+    r.add("snk1_written_csv", written_csv, f"""
+        SELECT sequence, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN concat(' ', sequence_id, '  ')
+                              ELSE sequence_id END AS sequence_id
+        FROM ({SEQUENCES_SQL})""")
     r.add("snk2_split_directories", split_directories, f"""
         SELECT doc_id, {side} AS split, {text("input_ids")}, {text("attention_mask")}
         FROM ({TOKENISED_SQL})""")

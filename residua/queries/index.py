@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from ..operators import index
+from ..operators.lookup import with_global_index
+from ..operators.split import hash_split, write_shards
 from ..plans.workspace import new_path
-from ..sources import index_file_path, read_index_map, read_shard, read_shards
+from ..sources import index_file_path, read_index_map, read_index_map_folder, read_shard, read_shards
 from .registry import Registry, file_no, joined
 from .standins import INDEX_MAP_SQL, ROWS_PER_FILE_SQL, TOKENISED_SQL, Tables, text
 
@@ -46,6 +48,29 @@ def index_folder(t: Tables):
     return numbered(t.index_map)
 
 
+def index_parts(t: Tables):
+    """A map that was written as several files."""
+    def write(base):
+        index.write_index_map(index.index_map(read_shards(t.spark, t.shards_path, [])).repartition(3), f"{base}/parts")
+
+    return numbered(read_index_map_folder(t.spark, t.staged("index-parts", write), "parts"))
+
+
+def both_splits(t: Tables):
+    """Rows of a corpus whose splits repeat base names, numbered over the root."""
+    def write(path):
+        rows = hash_split(t.tokenised, "doc_id", 0.8, 42).select("doc_id", "split", "input_ids")
+        write_shards(rows, path, by_split=True)
+
+    shards = read_shards(t.spark, t.staged("both-splits", write), ["doc_id"])
+    rows = with_global_index(shards, index.index_map(shards))
+    return rows.agg(
+        F.count("*").alias("rows"), F.count_distinct("global_idx").alias("places"),
+        F.min("global_idx").alias("first_place"), F.max("global_idx").alias("last_place"),
+        F.count_distinct("doc_id").alias("documents"),
+    )
+
+
 def one_shard(t: Tables):
     """The first shard by name; shards grow with the table."""
     name = index.first_files(t.index_map, 1).first().file_name
@@ -112,7 +137,7 @@ def name_order(t: Tables):
 
 def single_file(t: Tables):
     path = new_path(t.spark, "snk3")
-    index.write_index_map(index.index_map(read_shards(t.spark, t.shards_path, [])), path)
+    index.write_index_map(index.index_map(read_shards(t.spark, t.shards_path, [])), path, single_file=True)
     files = read_index_map(t.spark, path).groupBy(F.col("_metadata.file_name")).agg(
         F.count("*").alias("n")
     )
@@ -153,6 +178,11 @@ def register(r: Registry) -> None:
         FROM ({INDEX_MAP_SQL})""")
     r.add("src6_index_map_csv", index_csv_scan, lines)
     r.add("src7_index_map_folder", index_folder, lines)
+    r.add("src7_index_map_parts", index_parts, lines)
+    r.add("join3_both_splits", both_splits, """
+        SELECT count(*) AS rows, count(*) AS places, 0::BIGINT AS first_place,
+               count(*) - 1 AS last_place, count(*) AS documents
+        FROM documents""")
     r.add("src8_one_shard", one_shard, f"""
         SELECT doc_id, {text("input_ids")} FROM ({TOKENISED_SQL})
         WHERE doc_id < {ROWS_PER_FILE_SQL}""")

@@ -6,7 +6,7 @@ from ..functions import metrics
 from ..operators import reports, runplan
 from ..plans.workspace import new_path
 from ..sources import read_log
-from ..streaming import follow_metrics
+from ..streaming import follow_rolled_metrics
 from .registry import Registry
 from .standins import ACCUMULATION, BATCH_LOSSES_SQL, MAX_LENGTH, RANKS, Tables
 
@@ -147,9 +147,29 @@ def parsed_log_rows(t: Tables):
     return reports.metric_rows(parsed_log(t))
 
 
+def large_steps(t: Tables):
+    """Lines of runs that diverged, at steps of eight digits: written, then read again."""
+    event = F.col("event_id")
+    loss = (
+        F.when(event % 7 == 0, F.lit(float("nan"))).when(event % 7 == 1, F.lit(float("inf")))
+        .when(event % 7 == 2, F.lit(float("-inf"))).otherwise(F.round(F.col("value") * 100) / 997)
+    )
+    report = t("events").select(
+        F.lit(1).alias("epoch"), (event * 1000 + 10_000_000).alias("step"), loss.alias("loss"),
+        F.lit(1.5).alias("samples_per_second"), F.lit(2.5).alias("tokens_per_second"), F.lit(0.0001).alias("seconds"),
+    )
+    parsed = reports.parse_metrics(reports.format_metrics(report, "Training"), metrics.WIDE_METRIC_PATTERNS)
+    found = F.col("train_loss")
+    finite = F.abs(found) < float("inf")
+    return parsed.select(
+        "epoch", "step", F.isnan(found).alias("is_nan"), (found == float("inf")).alias("is_inf"),
+        (found == float("-inf")).alias("is_minus_inf"), F.when(finite, F.round(found, 4)).alias("loss"),
+    )
+
+
 def followed_log(t: Tables):
     table, checkpoint = new_path(t.spark, "followed"), new_path(t.spark, "followed-state")
-    follow_metrics(t.spark, t.log, table, checkpoint, files_per_trigger=2).awaitTermination()
+    follow_rolled_metrics(t.spark, t.log, table, checkpoint, files_per_trigger=2).awaitTermination()
     return t.spark.read.parquet(table)
 
 
@@ -353,6 +373,11 @@ def register(r: Registry) -> None:
     r.add("prj12_format_lines", lines_of_reports, LINES_SQL)
     r.add("src10_log_scan", log_scan, LINES_SQL)
     r.add("prj11_parse_log", parsed_log, parsed)
+    r.add("prj11_large_steps", large_steps, """
+        SELECT 1::BIGINT AS epoch, event_id * 1000 + 10000000 AS step, event_id % 7 = 0 AS is_nan,
+               event_id % 7 = 1 AS is_inf, event_id % 7 = 2 AS is_minus_inf,
+               CASE WHEN event_id % 7 > 2 THEN round(round(value * 100) / 997, 4) END AS loss
+        FROM events""")
     r.add("prj11_metric_rows", parsed_log_rows, f"""
         SELECT epoch, step, metric, value FROM (
             UNPIVOT ({parsed}) ON {", ".join(measured)} INTO NAME metric VALUE value)""")

@@ -8,6 +8,8 @@ from ..functions import masking
 from ..functions.vocabulary import ESM2
 from ..operators import sampler
 from ..operators.masking import mask_tokens
+from ..plans import epochs
+from ..plans.workspace import new_path
 from .registry import Registry, joined
 from .sqlhash import hash_longs, position_hashes, seeded_hash_sql
 from .standins import MAX_LENGTH, TOKENISED_SQL, Tables, text
@@ -66,6 +68,25 @@ def unshuffled(t: Tables):
     return assigned(t, shuffle=False).select("doc_id", "pos", "rank", "batch")
 
 
+def ids_from_one(t: Tables):
+    """Dense ids that do not begin at 0."""
+    members = t("customer").select((F.col("c_custkey") + 1).alias("member"))
+    rows = sampler.epoch_assignment(members, 7, 3, shuffle=False, id_col="member")
+    return rows.select("member", "pos", "rank", "batch")
+
+
+def epoch_layout(t: Tables):
+    """A written epoch, read back."""
+    path = new_path(t.spark, "epoch")
+    rows = epochs.epoch_samples(
+        t.tokenised, WORLD, BATCH, SEED, EPOCH, id_col="doc_id", batches_per_file=10, tasks=4
+    )
+    epochs.write_epoch(rows, path, EPOCH)
+    return t.spark.read.parquet(path).select(
+        "doc_id", "epoch", "rank", "batch", joined("input_ids"), joined("attention_mask"), joined("labels")
+    )
+
+
 def evaluation(t: Tables):
     """Evaluation never moves to the next epoch's order."""
     return assigned(t, epoch=0).select("doc_id", "pos", "rank", "batch")
@@ -139,6 +160,11 @@ def register(r: Registry) -> None:
         FROM (SELECT doc_id, unnest(range(doc_id,
                   (n + {WORLD - 1}) // {WORLD} * {WORLD}, n)) AS p
               FROM documents, (SELECT count(*) AS n FROM documents))""")
+    r.add("sam5_ids_from_one", ids_from_one, """
+        SELECT c_custkey + 1 AS member, p::BIGINT AS pos, (p % 7)::INTEGER AS rank,
+               (p // 7 // 3)::BIGINT AS batch
+        FROM (SELECT c_custkey, unnest(range(c_custkey, (n + 6) // 7 * 7, n)) AS p
+              FROM customer, (SELECT count(*) AS n FROM customer))""")
     r.add("sam6_evaluation_order", evaluation, f"""
         SELECT doc_id, pos, rank, rank_pos // {BATCH} AS batch
         FROM ({handed_out("documents", "doc_id", SEED, WORLD)})""")
@@ -171,6 +197,13 @@ def register(r: Registry) -> None:
                      THEN (draws[i + 1] // 256::UHUGEINT % 33::UHUGEINT)::INTEGER
                  ELSE input_ids[i + 1] END) AS input_ids
         FROM ({label_sql})"""
+    r.add("sam7_epoch_layout", epoch_layout, f"""
+        SELECT d.doc_id, {EPOCH}::INTEGER AS epoch, d.rank, d.rank_pos // {BATCH} AS batch,
+               array_to_string(i.input_ids, ' ') AS input_ids,
+               array_to_string(m.attention_mask, ' ') AS attention_mask,
+               array_to_string(l.labels, ' ') AS labels
+        FROM ({documents}) d JOIN ({input_sql}) i USING (doc_id) JOIN ({label_sql}) l USING (doc_id)
+        JOIN ({TOKENISED_SQL}) m USING (doc_id)""")
     r.add("mlm1_chosen_positions", chosen_positions, f"""
         SELECT doc_id, position FROM (
             SELECT doc_id, unnest(range({MAX_LENGTH}))::INTEGER AS position,

@@ -94,7 +94,7 @@ class Tables:
 
     def _index_maps(self, base: str) -> None:
         shards = read_shards(self.spark, self.shards_path, columns=[])
-        index.write_index_map(index.index_map(shards), f"{base}/train_index_map")
+        index.write_index_map(index.index_map(shards), f"{base}/train_index_map", single_file=True)
 
     @property
     def index_base(self) -> str:

@@ -1,62 +1,76 @@
 """Scans of the tables between the stages. No schema is inferred."""
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import quote, urlparse
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import INDEX_MAP, KEYED_ITEMS, LOG_LINES, SEQUENCES
 
 
 def read_sequences_csv(spark: SparkSession, path, null_as_empty: bool = True) -> DataFrame:
-    """``sequence, sequence_id`` from CSV with a header.
+    """``sequence, sequence_id`` from CSV with a header; blanks around a value belong to it.
 
-    CSV cannot tell an empty sequence from a missing one; ``null_as_empty`` reads both
-    as empty.
+    CSV cannot tell an empty value from a missing one; ``null_as_empty`` reads both as empty.
     """
-    rows = spark.read.schema(SEQUENCES).option("header", True).csv(path)
-    return rows.na.fill("", ["sequence"]) if null_as_empty else rows
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows = spark.read.schema(SEQUENCES).options(**options).csv(path)
+    return rows.na.fill("", ["sequence", "sequence_id"]) if null_as_empty else rows
+
 
+def _below(root: str, path: Column) -> Column:
+    """A file's path below the root; the whole path where the root is a pattern."""
+    folder = quote(urlparse(root).path, safe="/=:@!$&'()*+,;~").rstrip("/")
+    return F.substring_index(path, f"{folder}/", -1)
 
-def read_shards(spark: SparkSession, path: str, columns=None, nested: bool = False) -> DataFrame:
+
+def read_shards(spark: SparkSession, path: str, columns=None) -> DataFrame:
     """Parquet rows with ``file_name`` and ``row_index``, their place on disk.
 
-    ``nested`` names files by their full path, for trees in which base names repeat
-    (one task of a partitioned write uses the same base name in every directory).
+    A file is named by its path below ``path``, which is unique: one task of a partitioned
+    write uses the same base name in every directory.
     """
     shards = spark.read.parquet(path)
-    name = F.col("_metadata.file_path" if nested else "_metadata.file_name")
     return shards.select(
         *(columns if columns is not None else shards.columns),
-        name.alias("file_name"),
+        _below(path, F.col("_metadata.file_path")).alias("file_name"),
         F.col("_metadata.row_index").alias("row_index"),
     )
 
 
 def read_shard(spark: SparkSession, path: str, file_name: str) -> DataFrame:
     """The rows of one shard; the filter prunes the file list, nothing else is opened."""
-    return spark.read.parquet(path).where(F.col("_metadata.file_name") == file_name)
+    return spark.read.parquet(path).where(_below(path, F.col("_metadata.file_path")) == file_name)
 
 
 def read_index_map(spark: SparkSession, path) -> DataFrame:
-    return spark.read.schema(INDEX_MAP).option("header", True).csv(path)
+    """All CSV files of a folder, markers such as ``_SUCCESS`` left out, or one file."""
+    return spark.read.schema(INDEX_MAP).options(header=True, pathGlobFilter="*.csv").csv(path)
 
 
-def _csv_files(spark: SparkSession, folder: str) -> list[str]:
+def _csv_files(spark: SparkSession, folder: str, most: int) -> list[str]:
     listing = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
     )
-    return [row.path for row in listing.select("path").sort("path").limit(1).collect()]
+    return [row.path for row in listing.select("path").sort("path").limit(most).collect()]
 
 
 def index_file_path(spark: SparkSession, base: str, folder: str) -> str:
-    """The CSV part file in a folder, markers such as ``_SUCCESS`` left out."""
-    files = _csv_files(spark, f"{base.rstrip('/')}/{folder}")
+    """The CSV file of a map that was written as one file."""
+    files = _csv_files(spark, f"{base.rstrip('/')}/{folder}", 2)
     if not files:
         raise FileNotFoundError(f"no .csv file in {folder!r} below {base!r}")
+    if len(files) > 1:
+        raise ValueError(f"{folder!r} below {base!r} has several .csv files; read the folder")
     return files[0]
 
 
 def read_index_map_folder(spark: SparkSession, base: str, folder: str) -> DataFrame:
-    return read_index_map(spark, index_file_path(spark, base, folder))
+    """The map in all part files of a folder."""
+    path = f"{base.rstrip('/')}/{folder}"
+    if not _csv_files(spark, path, 1):
+        raise FileNotFoundError(f"no .csv file in {folder!r} below {base!r}")
+    return read_index_map(spark, path)
 
 
 def read_items(spark: SparkSession, path) -> DataFrame:

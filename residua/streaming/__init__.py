@@ -1,3 +1,3 @@
-from .logs import follow_metrics, metrics_stream
+from .logs import follow_rolled_metrics, rolled_metrics_stream
 
-__all__ = ["follow_metrics", "metrics_stream"]
+__all__ = ["follow_rolled_metrics", "rolled_metrics_stream"]

@@ -76,8 +76,10 @@ def test_epoch_on_disk(spark, built, tmp_path):
     samples = with_global_index(shards, files)
     before = {r.global_idx: r for r in samples.collect()}
     world, batch = 3, 8
-    rows = epochs.epoch_samples(samples, world, batch, N, seed=5, epoch=1)
-    epochs.write_epoch(rows, str(tmp_path / "e"), batches_per_file=4, tasks=5)
+    rows = epochs.epoch_samples(samples, world, batch, seed=5, epoch=1, batches_per_file=4, tasks=5)
+    epochs.write_epoch(rows, str(tmp_path / "e"), 1)
+    with pytest.raises(Exception, match="already exists"):
+        epochs.write_epoch(rows, str(tmp_path / "e"), 1)
     written = spark.read.parquet(str(tmp_path / "e"))
     each = -(-len(before) // world)
     assert {r["rank"]: r["count"] for r in written.groupBy("rank").count().collect()} == {
@@ -92,6 +94,12 @@ def test_epoch_on_disk(spark, built, tmp_path):
     assert parts.where("n > 1").count() == 0
 
 
+def test_files_for_one_split_only(spark, tmp_path):
+    rows = spark.createDataFrame([("AC", "a")], "sequence string, sequence_id string")
+    with pytest.raises(ValueError, match="file count"):
+        corpus.write_corpus_in_files(rows, str(tmp_path / "c"), 9, {"train": 2})
+
+
 class Session:
     """What the workspace asks of a session."""
 

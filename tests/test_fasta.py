@@ -66,6 +66,29 @@ def test_directory_of_files(spark, tmp_path):
     assert read(spark, tmp_path) == sorted(RECORDS)
 
 
+def test_odd_headers(spark, tmp_path):
+    (tmp_path / "a.fasta").write_text(">\n>b\nAC\n>\n>c\nGG\n>>d\nT\n>\n")
+    (tmp_path / "b.fasta").write_text("\n\r\n>>e\nAC\n>\n")
+    (tmp_path / "c.fasta").write_text("")
+    assert read(spark, tmp_path) == sorted(
+        [("", ""), ("b", "AC"), ("", ""), ("c", "GG"), (">d", "T"), ("", ""), (">e", "AC"), ("", "")])
+
+
+def test_text_before_the_first_header(spark, tmp_path):
+    path = tmp_path / "a.fasta"
+    path.write_text("junk\nmore\n>a\nAC\n")
+    with pytest.raises(Exception, match="before the first header"):
+        read(spark, path)
+    assert read(spark, path, lead_in="drop") == [("a", "AC")]
+
+
+def test_lone_carriage_returns(spark, tmp_path):
+    path = tmp_path / "a.fasta"
+    path.write_bytes(b">a\rAC\r>b\rGT\r")
+    with pytest.raises(Exception, match="carriage return"):
+        read(spark, path)
+
+
 def test_lead_in_is_found(spark, tmp_path):
     (tmp_path / "good.fasta").write_text(">P1\nAC\n>P2\nGT\n")
     (tmp_path / "bad.fasta").write_text("; comment\n>P1\nAC\n")
@@ -78,7 +101,10 @@ def test_csv_round_trip(spark, tmp_path):
     out = str(tmp_path / "csv")
     write_sequences_csv(read_fasta(spark, str(tmp_path / "a.fasta")), out)
     rows = read_sequences_csv(spark, out)
-    assert sorted((r.sequence_id or "", r.sequence) for r in rows.collect()) == sorted(RECORDS)
+    assert sorted((r.sequence_id, r.sequence) for r in rows.collect()) == sorted(RECORDS)
+    blanks = spark.createDataFrame([(" A ", " id x "), ("", "")], "sequence string, sequence_id string")
+    write_sequences_csv(blanks, out + "2")
+    assert sorted(map(tuple, read_sequences_csv(spark, out + "2").collect())) == [("", ""), (" A ", " id x ")]
     raw = read_sequences_csv(spark, out, null_as_empty=False)
     assert raw.where("sequence is null").count() == 1
     with pytest.raises(Exception, match="already exists"):

@@ -1,11 +1,8 @@
-from functools import partial
-
 import pytest
 from pyspark.sql import functions as F
 
 from residua.operators import index, keyed, lookup
 from residua.operators.split import spread_by_id, write_shards
-from residua.plans import sizing
 from residua.schemas import INDEX_MAP
 from residua.sources import index_file_path, read_index_map_folder, read_shard, read_shards
 
@@ -55,7 +52,7 @@ def test_length_counts_the_last_row(spark, data):
 
 def test_map_reads_no_columns(spark, data, plan):
     path, _, _ = data
-    text = plan(index.index_map(read_shards(spark, path, columns=[])))
+    text = plan(index.rows_per_file(read_shards(spark, path, columns=[])))
     assert "ReadSchema: struct<>" in text and "partial_count" in text
 
 
@@ -73,15 +70,48 @@ def test_one_shard_opens_one_file(spark, data):
     assert sorted(r.id for r in rows.collect()) == list(range(100))
 
 
-def test_global_index_is_dense(spark, data, monkeypatch):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_global_index_is_dense(spark, data, conf, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
     _, shards, base = data
     files = read_index_map_folder(spark, base, "train_index_map")
-    for limit in (sizing.BROADCAST_ROWS, 0):
-        monkeypatch.setattr(lookup, "broadcast_if_small",
-                            lambda df, n=limit: sizing.broadcast_if_small(df, n))
-        rows = lookup.with_global_index(shards, files).collect()
-        assert sorted(r.global_idx for r in rows) == list(range(1003))
-        assert all(r.global_idx == r.id for r in rows)
+    rows = lookup.with_global_index(shards, files).collect()
+    assert sorted(r.global_idx for r in rows) == list(range(1003))
+    assert all(r.global_idx == r.id for r in rows)
+
+
+def test_map_in_several_files(spark, data, tmp_path):
+    _, shards, _ = data
+    index.write_index_map(index.index_map(shards).repartition(4), str(tmp_path / "m"))
+    assert len(list((tmp_path / "m").glob("*.csv"))) > 1
+    files = read_index_map_folder(spark, str(tmp_path), "m")
+    assert files.count() == 11 and files.agg(F.sum("num_sequences")).first()[0] == 1003
+    with pytest.raises(ValueError, match="several"):
+        index_file_path(spark, str(tmp_path), "m")
+
+
+def test_map_of_many_ranges_equals_one_running_total(spark, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.range(5000).selectExpr("concat('f', id * id % 701) as file_name")
+    got = index.index_map(rows).orderBy("file_name").collect()
+    at = 0
+    for r in got:
+        assert (r.start_line, r.end_line) == (at, at + r.num_sequences - 1)
+        at += r.num_sequences
+    assert at == 5000 and [r.file_name for r in got] == sorted(r.file_name for r in got)
+
+
+def test_equal_base_names(spark, tmp_path):
+    """One task writes the same base name into every directory."""
+    rows = spark.range(100).selectExpr("id", "if(id % 4 = 0, 'test', 'train') as split").coalesce(1)
+    write_shards(rows, str(tmp_path / "a b"), by_split=True)
+    shards = read_shards(spark, str(tmp_path / "a b"), ["id"])
+    files = index.index_map(shards)
+    assert files.count() == 2
+    assert sorted(r.global_idx for r in lookup.with_global_index(shards, files).collect()) == list(range(100))
+    name = files.orderBy("file_name").first().file_name
+    assert name.startswith("split=test/")
+    assert read_shard(spark, str(tmp_path / "a b"), name).count() == 25
 
 
 def expected(requests):
@@ -93,25 +123,17 @@ REQUESTS = [(n, i) for n, i in enumerate(
 )] + [(9, 5)] * 50
 
 
-def make_large(monkeypatch):
-    """Every table counts as large and every key above 20 rows as hot."""
-    monkeypatch.setattr(sizing, "is_small", lambda df, rows=0: False)
-    monkeypatch.setattr(lookup, "is_small", lambda df, rows=0: False)
-    monkeypatch.setattr(lookup, "broadcast_if_small", lambda df, rows=0: (df, False))
-    monkeypatch.setattr(lookup, "NAMED_FILES", 0)
-    join = partial(sizing.skew_safe_join, hot_rows=20, hot_share=100)
-    monkeypatch.setattr(sizing, "skew_safe_join", join)
-    monkeypatch.setattr(lookup, "skew_safe_join", join)
-    apart = partial(sizing.hot_apart_join, hot_rows=20, hot_share=100)
-    monkeypatch.setattr(sizing, "hot_apart_join", apart)
+def make_large(conf):
+    """Nothing is broadcast."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
 
 
 @pytest.mark.parametrize("strategy", ["dense", "binned"])
 @pytest.mark.parametrize("large", [False, True])
-def test_lookup_positions(spark, data, monkeypatch, strategy, large):
+def test_lookup_positions(spark, data, conf, strategy, large):
     _, shards, base = data
     if large:
-        make_large(monkeypatch)
+        make_large(conf)
     files = read_index_map_folder(spark, base, "train_index_map")
     requests = spark.createDataFrame(REQUESTS, "n int, idx bigint")
     found = lookup.lookup_positions(requests, files, shards, strategy).collect()
@@ -137,18 +159,48 @@ def test_unknown_strategy(spark, data):
         lookup.lookup_positions(spark.range(1), index.index_map(shards), shards, "guess")
 
 
-@pytest.mark.parametrize("bin_size", [1, 7, 100, 5000, None])
-def test_locate_with_any_bin(spark, data, plan, bin_size):
+def test_locate(spark, data, plan):
     _, shards, _ = data
     requests = spark.createDataFrame(REQUESTS, "n int, idx bigint")
-    found = lookup.locate(requests, index.index_map(shards), bin_size)
+    found = lookup.locate(requests, index.index_map(shards))
     assert "NestedLoop" not in plan(found) and "Cartesian" not in plan(found)
-    for r in found.collect():
+    rows = found.collect()
+    assert len(rows) == len(REQUESTS)
+    for r in rows:
         inside = 0 <= r.idx < 1003
         assert r.local_row == (r.idx % 100 if inside else None)
         assert (r.file_name is not None) == inside
 
 
+def test_locate_in_uneven_files(spark):
+    """One huge file beside many small ones, empty files, and null positions."""
+    sizes = [1] * 200 + [2 * 10**9] + [1] * 200 + [0, 7, 0, 300, 1]
+    rows, at = [], 0
+    for i, n in enumerate(sizes):
+        rows.append((f"f{i:04}", n, at, at + n - 1))
+        at += n
+    files = spark.createDataFrame(rows, INDEX_MAP)
+    wanted = [0, 199, 200, 2 * 10**9 + 199, 2 * 10**9 + 200, at - 1, at, -1, 10**9, None]
+    found = lookup.locate(spark.createDataFrame([(i,) for i in wanted], "idx bigint"), files).collect()
+    assert len(found) == len(wanted)
+    for r in found:
+        owner = [x for x in rows if r.idx is not None and x[2] <= r.idx <= x[3]]
+        assert (r.file_name, r.local_row) == ((owner[0][0], r.idx - owner[0][2]) if owner else (None, None))
+
+
+def test_no_job_runs_while_a_lookup_is_built(spark, data):
+    path, shards, base = data
+    files = read_index_map_folder(spark, base, "train_index_map")
+    requests = spark.range(50).withColumnRenamed("id", "idx")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "lookups")
+    for strategy in ("dense", "binned"):
+        lookup.lookup_positions(requests, files, shards, strategy)
+    lookup.lookup_keys(requests.withColumnRenamed("idx", "sequence_id"), items_of(spark, 9))
+    assert tracker.getJobIdsForGroup("building") == []
+    spark.sparkContext.setJobGroup("other", "")
+
+
 def items_of(spark, n):
     samples = spark.range(n).select(
         "id", F.array(F.col("id").cast("int"), F.lit(2)).alias("input_ids"),
@@ -158,9 +210,9 @@ def items_of(spark, n):
 
 
 @pytest.mark.parametrize("large", [False, True])
-def test_lookup_keys(spark, monkeypatch, large):
+def test_lookup_keys(spark, conf, large):
     if large:
-        make_large(monkeypatch)
+        make_large(conf)
     items = lookup.integer_items(items_of(spark, 50))
     requests = spark.createDataFrame(
         [(i,) for i in [3, 3, 49, 50]] + [(7,)] * 300 + [(None,)] * 90, "sequence_id bigint"
@@ -182,9 +234,8 @@ def test_items_are_decimals(spark, tmp_path):
     assert lookup.model_columns(stored).columns == ["input_ids", "attention_mask"]
 
 
-def test_bucketed_items_stay_where_they_are(spark, tmp_path, conf, plan, monkeypatch):
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    make_large(monkeypatch)
+def test_bucketed_items_stay_where_they_are(spark, tmp_path, conf, plan):
+    make_large(conf)
     keyed.write_bucketed_items(items_of(spark, 500), "kept_items", str(tmp_path / "b"), 4)
     requests = spark.range(900).withColumnRenamed("id", "sequence_id")
     joined = lookup.lookup_keys(requests, spark.table("kept_items"))
@@ -195,90 +246,22 @@ def test_bucketed_items_stay_where_they_are(spark, tmp_path, conf, plan, monkeyp
     spark.sql("drop table kept_items")
 
 
-def final_plan(df):
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan")[0]
-
-
-def test_no_second_scan_without_hot_keys(spark, tmp_path, conf):
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.range(500).selectExpr("id as k", "id as w").write.parquet(str(tmp_path / "w"))
-    other = spark.read.parquet(str(tmp_path / "w"))
-    even = spark.range(500).withColumnRenamed("id", "k")
-    uneven = even.unionAll(spark.range(300).selectExpr("3L as k"))
-    options = {"hot_rows": 50, "hot_share": 50}
-    scans = [final_plan(sizing.hot_apart_join(df, other, ["k"], **options)).count("FileScan parquet")
-             for df in (even, uneven)]
-    assert scans == [1, 2]
-
-
-def test_hot_apart_join_equals_a_plain_join(spark):
-    rows = [(1, i) for i in range(300)] + [(k, k) for k in range(60)] + [(1, 0)] * 250
-    rows += [(None, i) for i in range(40)] + [(2, 2)] * 90 + [(None, 0)] * 30
-    many = spark.createDataFrame(rows, "k int, v int")
-    other = spark.createDataFrame([(k, -k) for k in [1, *range(0, 50, 2)]], "k int, w int")
-    joined = sizing.hot_apart_join(many, other, ["k"], hot_rows=10, hot_share=50)
-    assert joined.columns == ["k", "v", "w"]
-    assert sorted(map(str, joined.collect())) == plain(many, other, "left")
-
-
-def test_hot_rows_are_not_shuffled(spark, conf):
-    conf("spark.sql.adaptive.enabled", "false")
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    many = spark.range(9000).select(
-        F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 3 == 1, None)
-        .otherwise(F.col("id")).alias("k"))
-    other = many.where("k is not null").distinct().withColumn("w", F.lit(1))
-    joined = sizing.hot_apart_join(many, other, ["k"], hot_rows=100, hot_share=50)
-    sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-    assert sum(r["count"] for r in sizes) == 9000
-    assert max(r["count"] for r in sizes) < 1000
-    assert joined.where("w is null").count() == 3000
-
-
-def plain(many, other, how):
-    return sorted(map(str, many.join(other, "k", how).select("k", "v", "w").collect()))
-
-
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("distinct", [False, True])
-def test_skew_safe_join_equals_a_plain_join(spark, how, distinct):
-    rows = [(1, i) for i in range(300)] + [(k, k) for k in range(60)]
-    rows += [(None, i) for i in range(40)]
-    if not distinct:
-        rows += [(1, 0)] * 250 + [(2, 2)] * 90 + [(None, 0)] * 30
-    many = spark.createDataFrame(rows, "k int, v int")
-    other = spark.createDataFrame([(k, -k) for k in range(0, 50, 2)] + [(1, 5)], "k int, w int")
-    joined = sizing.skew_safe_join(
-        many, other, ["k"], how, distinct=distinct, hot_rows=10, hot_share=50)
-    assert joined.columns == ["k", "v", "w"]
-    assert sorted(map(str, joined.collect())) == plain(many, other, how)
-
-
-def test_skew_safe_join_cuts_the_hot_key(spark, conf):
-    """A key with a third of the rows is not the work of one task."""
-    conf("spark.sql.adaptive.enabled", "false")
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    many = spark.range(9000).select(
-        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
-    other = many.select("k").distinct().withColumn("w", F.lit(1))
-    joined = sizing.skew_safe_join(many, other, ["k"], hot_rows=100, hot_share=50)
-    sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-    assert sum(r["count"] for r in sizes) == 9000
-    assert max(r["count"] for r in sizes) < 2000
-
-
-def test_skew_safe_join_cuts_a_block_of_copies(spark, conf):
-    conf("spark.sql.adaptive.enabled", "false")
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    many = spark.range(9000).select(
-        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    other = many.select("k").distinct().withColumn("w", F.lit(1))
-    joined = sizing.skew_safe_join(many, other, ["k"], hot_rows=100, hot_share=50)
-    sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-    assert sum(r["count"] for r in sizes) == 9000
-    assert max(r["count"] for r in sizes) < 2500
-
-
-def test_is_small_reads_no_further_than_it_must(spark):
-    assert sizing.is_small(spark.range(10), 10) and not sizing.is_small(spark.range(11), 10)
+def test_items_that_share_a_key(spark):
+    items = lookup.integer_items(items_of(spark, 5).unionAll(items_of(spark, 5)))
+    requests = spark.createDataFrame([(3,), (3,)], "sequence_id bigint")
+    assert lookup.lookup_keys(requests, items, unique=False).count() == 2
+
+
+def test_a_hot_request_is_split(spark, conf):
+    """Adaptive execution cuts the partition of a position that many ask for."""
+    make_large(conf)
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "10k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    files = spark.createDataFrame([("f", 40_000, 0, 39_999)], INDEX_MAP)
+    requests = spark.range(120_000).selectExpr("if(id % 3 = 0, 5, id % 40000) as idx", "uuid() as u").repartition(8)
+    found = lookup.locate(requests, files)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 120_000
+    found.collect()
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()

@@ -1,3 +1,5 @@
+import pytest
+
 from residua.__main__ import main
 
 
@@ -16,8 +18,15 @@ def test_stages_in_a_row(spark, tmp_path):
     main(["index", "--input_path", path["corpus"], "--output_path", path["maps"]])
     for epoch in ("0", "1"):
         main(["epoch", "--input_path", path["corpus"], "--output_path", path["epoch"],
-              "--index_path", path["maps"], "--sequence_length", "20", "--world_size", "4",
+              "--index_path", path["maps"], "--world_size", "4",
               "--batch_size", "8", "--tasks", "2", "--epoch", epoch])
+    main(["epoch", "--input_path", path["corpus"], "--output_path", path["epoch"] + "-test", "--split", "test",
+          "--index_path", path["maps"], "--world_size", "2", "--batch_size", "8", "--tasks", "1", "--epoch", "7"])
+    test = one.where("split = 'test'").count()
+    assert spark.read.parquet(path["epoch"] + "-test").where("epoch = 0").count() == -(-test // 2) * 2
+    with pytest.raises(SystemExit):
+        main(["tokenise", "--input_path", path["seq"], "--output_path", path["corpus"] + "2",
+              "--sequence_length", "20", "--train_files", "4"])
     train = one.where("split = 'train'").count()
     rows = spark.read.parquet(path["epoch"])
     assert {r["epoch"]: r["count"] for r in rows.groupBy("epoch").count().collect()} == {

@@ -164,3 +164,18 @@ def test_planned_batches_are_the_sampler_s(spark, n, world, batch):
     runs = run_table(spark).limit(1).withColumn("world_size", F.lit(world)).withColumn(
         "per_device_train_batch_size", F.lit(batch))
     assert counted == {runplan.with_num_batches(runs, F.lit(n)).first().num_batches}
+
+
+def test_odd_numbers_in_lines(spark):
+    from residua.functions.metrics import WIDE_METRIC_PATTERNS
+
+    rows = [(0, s, x, 1.0, 1.0, t) for s, x, t in [
+        (10_000_000, float("nan"), 0.0001), (12_345_678, float("inf"), 1e9), (3, float("-inf"), 2.5), (4, 1.5, 0.0)]]
+    report = spark.createDataFrame(
+        rows, "epoch int, step bigint, loss double, samples_per_second double, tokens_per_second double, seconds double")
+    lines = reports.format_metrics(report, "Training")
+    assert not any("E" in r.value.split("time")[1] or "E-" in r.value for r in lines.collect())
+    assert "Step: 10000000.0," in lines.first().value
+    parsed = reports.parse_metrics(lines, WIDE_METRIC_PATTERNS).orderBy("step").collect()
+    assert [r.step for r in parsed] == [3, 4, 10_000_000, 12_345_678]
+    assert [str(r.train_loss) for r in parsed] == ["-inf", "1.5", "nan", "inf"]

@@ -83,3 +83,24 @@ def test_no_global_sort(spark, plan, conf):
 def test_offsets_are_bounded(spark):
     with pytest.raises(ValueError):
         sampler.epoch_assignment(spark.range(3), 2, 1, bucket_bits=21)
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 4], [0, 0, 1], [0, None]])
+def test_unshuffled_ids_are_checked(spark, ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    with pytest.raises(Exception, match="not dense and unique"):
+        sampler.epoch_assignment(rows, 2, 2, shuffle=False).collect()
+
+
+def test_unshuffled_ids_may_begin_anywhere(spark):
+    rows = spark.createDataFrame([(i,) for i in range(5, 10)], "id bigint")
+    placed = sampler.epoch_assignment(rows, 2, 2, shuffle=False)
+    assert sorted(r.pos for r in placed.collect()) == [0, 1, 2, 3, 4, 5]
+    assert sorted((r.id, r.pos) for r in placed.collect())[0] == (5, 0)
+
+
+def test_packed_batches_keep_epochs_apart(spark):
+    one = sampler.epoch_assignment(spark.range(10), 2, 2, epoch=0).withColumn("epoch", F.lit(0))
+    two = sampler.epoch_assignment(spark.range(10), 2, 2, epoch=1).withColumn("epoch", F.lit(1))
+    packed = sampler.packed_batches(one.unionAll(two), ["id"]).collect()
+    assert all(len(r.samples) <= 2 for r in packed) and len(packed) == 12

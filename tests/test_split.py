@@ -82,3 +82,11 @@ def test_one_directory_per_split(spark, tmp_path):
     test = spark.read.parquet(str(tmp_path / "s" / "split=test"))
     assert train.count() + test.count() == 5000
     assert train.select("id").intersect(test.select("id")).count() == 0
+
+
+def test_small_shares_are_honoured(spark):
+    from residua.operators.split import split_threshold
+
+    assert split_threshold(0.99999) < split_threshold(1.0) == 2**60
+    sides = hash_split(spark.range(300_000), "id", 0.99999).groupBy("split").count().collect()
+    assert {r["split"] for r in sides} == {"train", "test"}

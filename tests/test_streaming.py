@@ -1,7 +1,7 @@
 from residua.operators import reports
 from residua.schemas import LOG_LINES
 from residua.sources import read_log
-from residua.streaming import follow_metrics
+from residua.streaming import follow_rolled_metrics
 
 
 def lines(spark, start, n):
@@ -10,7 +10,7 @@ def lines(spark, start, n):
 
 
 def follow(spark, root):
-    follow_metrics(
+    follow_rolled_metrics(
         spark, str(root / "log"), str(root / "table"), str(root / "state"), files_per_trigger=1
     ).awaitTermination()
     return spark.read.parquet(str(root / "table"))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..plans.workspace import stored
 from .graph import components
-from .substrings import text_key, texts_of
+from .substrings import forget, text_key, texts_of
 from .tasks import map_arrow
 from .words import U64, Words, blocks, hash_windows, mix
 
@@ -276,12 +276,14 @@ def _in_components(texts: DataFrame, settings: Settings) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
-    of_text = _in_components(texts_of(docs), settings)
+    texts = texts_of(docs)
+    of_text = _in_components(texts, settings)
     rows = stored(
         docs.sparkSession,
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *text_key()).join(of_text, ["k", "tag"]).select("doc_id", "n", "component"),
         "documents-in-components",
     )
+    forget(texts)
     # Rows without a set have no part in a component; they must not meet under its name either.
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     least = rows.where(~alone).groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -93,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 # The others cannot be expressed in SQL; tests/llm holds them against brute-force versions.
 SQL: dict[str, str] = {
+    "op1_divergence_rules": sql.DIVERGENCE_RULES,
     "op4_chosen_path_near_duplicates": sql.NEAR_DUPLICATE_DOCUMENTS,
     "op5_suffix_tree_repeats": sql.REPEATED_PASSAGES,
     "op7_hyperplane_near_duplicates": sql.NEAR_DUPLICATE_VECTORS,

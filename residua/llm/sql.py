@@ -62,3 +62,68 @@ NEAR_DUPLICATE_VECTORS = """
     SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
     FROM embeddings LEFT JOIN counted USING (vec_id) LEFT JOIN least USING (vec_id)
 """
+
+# The numbers are the defaults of divergence.Rules.
+_CLASSES = {0: "a-z", 1: "A-Z", 2: "0-9", 3: r"\x20\x09-\x0D", 4: ".,;:?'\"()\\-"}
+_COUNTS = {k: f"length(regexp_replace(text, '[^{c}]', '', 'g'))".replace("?'", "?''") for k, c in _CLASSES.items()}
+_COUNTS[6] = r"length(regexp_replace(text, '[\x00-\x7F]', '', 'g'))"
+_COUNTS[5] = "length(text) - " + " - ".join(f"({c})" for c in _COUNTS.values())
+
+
+def _distance(counts: str, references: str) -> str:
+    """Jensen-Shannon distance of each document from its language, over rows of bins."""
+    return f"""
+        SELECT doc_id, sqrt(greatest(least(sum(
+                   CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+                   + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 1), 0)) AS distance
+        FROM (SELECT d.doc_id, coalesce(c.n, 0) / greatest(sum(coalesce(c.n, 0)) OVER (PARTITION BY d.doc_id), 1) AS p,
+                     r.n / greatest(sum(r.n) OVER (PARTITION BY d.doc_id), 1) AS q
+              FROM texts d JOIN ({references}) r USING (lang) LEFT JOIN ({counts}) c ON c.doc_id = d.doc_id AND c.bin = r.bin)
+        GROUP BY doc_id"""
+
+
+DIVERGENCE_RULES = f"""
+    WITH texts AS (
+        SELECT *, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols
+        FROM (SELECT doc_id, coalesce(text, '') AS text, coalesce('=' || lang, '') AS lang,
+                     regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents)),
+    windows AS (
+        SELECT doc_id, p, array_to_string(words[p:p + 4], ' ') AS content
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS p FROM texts)),
+    covered AS (
+        SELECT doc_id, count(DISTINCT place) AS n FROM (
+            SELECT doc_id, unnest(range(p, p + 5)) AS place
+            FROM windows JOIN (SELECT doc_id, content FROM windows GROUP BY ALL HAVING count(*) > 1) USING (doc_id, content))
+        GROUP BY doc_id),
+    lines AS (
+        SELECT doc_id, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{WORD}')) AS lines FROM texts),
+    plain AS (SELECT * FROM texts WHERE 100 * n_symbols <= strlen(text)),
+    chars AS (SELECT doc_id, unnest([{", ".join(_COUNTS[k] for k in range(7))}]) AS n, unnest(range(7)) AS bin FROM texts),
+    char_reference AS (SELECT lang, bin, sum(n) AS n FROM chars JOIN plain USING (doc_id) GROUP BY ALL),
+    placed AS (SELECT doc_id, lang, unnest(words) AS word FROM texts),
+    counted AS (SELECT lang, word, count(*) AS n FROM placed WHERE doc_id IN (SELECT doc_id FROM plain) GROUP BY ALL),
+    common AS (
+        SELECT lang, word, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS bin FROM counted
+        WHERE length(word) <= 6 AND NOT regexp_matches(word, '[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]')
+        QUALIFY bin <= 32),
+    totals AS (SELECT lang, sum(n) AS n FROM counted GROUP BY lang),
+    word_reference AS (
+        SELECT lang, bin, n FROM common
+        UNION ALL SELECT lang, 33, t.n - coalesce((SELECT sum(c.n) FROM common c WHERE c.lang = t.lang), 0) FROM totals t),
+    own_words AS (
+        SELECT doc_id, coalesce(bin, 33) AS bin, count(*) AS n FROM placed LEFT JOIN common USING (lang, word) GROUP BY ALL),
+    char_distance AS ({_distance("SELECT doc_id, bin, n FROM chars", "SELECT * FROM char_reference")}),
+    word_distance AS ({_distance("SELECT doc_id, bin, n FROM own_words", "SELECT * FROM word_reference")}),
+    base AS (
+        SELECT doc_id, lang, length(text) AS n_chars, len(words)::BIGINT AS n_words,
+               length(array_to_string(words, ''))::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+               (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+        FROM texts JOIN lines USING (doc_id) LEFT JOIN covered c USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+           NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (
+               coalesce(t.n, 0) >= 200 AND (
+                   n_chars >= 200 AND coalesce(c.distance, 0) > 0.165
+                   OR n_words >= 100 AND coalesce(w.distance, 0) > 0.33)) AS kept
+    FROM base LEFT JOIN totals t USING (lang) LEFT JOIN char_distance c USING (doc_id) LEFT JOIN word_distance w USING (doc_id)
+"""

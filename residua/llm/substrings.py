@@ -89,6 +89,12 @@ def spans_of(w: Words, settings: Settings) -> Spans:
     return Spans(doc[begin], at[begin] - w.ptr[doc[begin]], np.diff(np.append(begin, len(at))), runs[anchor[begin]])
 
 
+def forget(texts: DataFrame) -> None:
+    """Takes the table of ``texts_of`` off the catalog; its files stay in the shared folder."""
+    name = texts.schema["text"].metadata["table"]
+    texts.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def texts_of(docs: DataFrame) -> DataFrame:
     """Every distinct text once, bucketed by ``k, tag`` so that later joins leave it in place.
 
@@ -102,7 +108,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
     name = f"residua_texts_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     once.write.option("path", new_path(spark, "texts")).format("parquet").bucketBy(parts, "k", "tag").saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name).withMetadata("text", {"table": name})
 
 
 def text_key() -> tuple:
@@ -333,6 +339,7 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     spark = docs.sparkSession
     texts = texts_of(docs)
     done = stored(spark, applied(texts, stretches(texts, settings), settings, False).drop("kept_text"), "kept")
+    forget(texts)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *text_key())
     return rows.join(done, ["k", "tag"]).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -343,6 +350,7 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     texts = texts_of(docs)
     done = applied(texts, stretches(texts, settings), settings, True).where("n_removed > 0")
     changed = stored(spark, done.select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), "kept_text"), "cut-texts")
+    forget(texts)
     # Copies of a text may be a large part of the rows, so the rows move and hot keys can be split.
     k, tag = text_key()
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")

@@ -3,6 +3,7 @@ import random
 import pytest
 from samples import bag
 
+from residua.llm import graph
 from residua.llm.graph import components
 
 
@@ -23,8 +24,10 @@ def by_hand(links):
     return sorted(out.items(), key=repr)
 
 
+@pytest.mark.parametrize("last", [10_000, 5])
 @pytest.mark.parametrize("kind", ["random", "path", "reversed path", "star", "stars"])
-def test_components(spark, kind):
+def test_components(spark, monkeypatch, kind, last):
+    monkeypatch.setattr(graph, "LAST_LINKS", last)
     rng = random.Random(2)
     links = {
         "random": [(rng.randrange(300), rng.randrange(300)) for _ in range(180)],

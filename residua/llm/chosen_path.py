@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..plans.workspace import stored
 from .graph import components
 from .substrings import forget, text_key, texts_of
-from .tasks import map_arrow
+from .tasks import fixed_lists, map_arrow
 from .words import U64, Words, blocks, hash_windows, mix
 
 
@@ -45,11 +45,12 @@ class Settings:
     trees: int = 12
     first_levels: int = 3
     # Nodes up to this size are compared exhaustively.
-    small: int = 64
+    small: int = 32
     # Levels by which a large node is branched at a time.
     step: int = 3
     # Levels after which a node is compared whatever its size.
-    levels: int = 21
+    levels: int = 27
+    # A multiple of 32.
     minwise: int = 128
     # Standard deviations below the threshold at which a sketch rules a pair out.
     margin: float = 3.5
@@ -83,7 +84,10 @@ def _minwise(hashes: np.ndarray, ptr: np.ndarray, settings: Settings) -> np.ndar
 
 
 def signatures(texts: DataFrame, settings: Settings) -> DataFrame:
-    """``k, tag, n, one, two, sketch``: set size, two hashes of the set, minwise tokens."""
+    """``k, tag, n, one, two, sketch, lanes``: set size, two hashes of the set, minwise tokens.
+
+    The lanes are two bits of each token, 32 tokens in a number.
+    """
 
     def each(batch):
         for w in blocks(batch.column("text"), lower=True):
@@ -91,12 +95,15 @@ def signatures(texts: DataFrame, settings: Settings) -> DataFrame:
             sums = [np.concatenate([[U64(0)], np.cumsum(mix(hashes ^ U64(salt)))]) for salt in (0, 0x5BD1E995)]
             one, two = ((s[ptr[1:]] - s[ptr[:-1]]).view(np.int64) for s in sums)
             sketch = _minwise(hashes, ptr, settings).astype("<u4")
+            places = np.arange(0, 64, 2, dtype=U64)
+            lanes = ((sketch & 3).astype(U64).reshape(w.n_docs, -1, 32) << places).sum(axis=2, dtype=U64)
             yield {
+                "lanes": fixed_lists(lanes.view(np.int64), pa.int64()),
                 "k": batch.column("k").slice(w.first, w.n_docs), "tag": batch.column("tag").slice(w.first, w.n_docs),
                 "n": np.diff(ptr), "one": one, "two": two, "sketch": [row.tobytes() for row in sketch],
             }
 
-    return map_arrow(texts.select("k", "tag", "text"), "k bigint, tag int, n bigint, one bigint, two bigint, sketch binary", each)
+    return map_arrow(texts.select("k", "tag", "text"), "k bigint, tag int, n bigint, one bigint, two bigint, sketch binary, lanes array<bigint>", each)
 
 
 def _sketches(column) -> np.ndarray:
@@ -153,19 +160,41 @@ def _members(rows: DataFrame) -> DataFrame:
     return rows.join(nodes.select("node", F.col("first.cid").alias("pivot")), "node")
 
 
+def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Adds ``component`` by the links found so far."""
+    parts = components(found).withColumnRenamed("id", "cid")
+    return rows.join(parts, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+
+
 def _open(rows: DataFrame) -> DataFrame:
-    """``node, cid, component, m`` of the nodes whose sets are not all connected."""
+    """``rows`` with ``m``, of the nodes whose sets are not all connected."""
     nodes = rows.groupBy("node").agg(
         F.count("*").alias("m"), F.min("component").alias("c1"), F.max("component").alias("c2")
     )
     return rows.join(nodes.where("c1 <> c2").select("node", "m"), "node")
 
 
-def _unconnected(rows: DataFrame) -> DataFrame:
-    """``a, b``: all pairs of a node that are not connected; for small nodes."""
-    here = rows.select("node", F.col("cid").alias("a"), F.col("component").alias("ca"))
-    there = rows.select("node", F.col("cid").alias("b"), F.col("component").alias("cb"))
-    return here.join(there, "node").where("a < b and ca <> cb").select("a", "b").distinct()
+def _differing(settings: Settings) -> int:
+    """Lanes that differ in a pair at the threshold, and the margin above."""
+    share = 0.75 * (1 - settings.percent / 100)
+    return math.floor(settings.minwise * share + settings.margin * math.sqrt(settings.minwise * share * (1 - share)))
+
+
+def _sized(one: str, two: str, settings: Settings):
+    return 100 * F.least(one, two) >= settings.percent * F.greatest(one, two)
+
+
+def _unconnected(rows: DataFrame, settings: Settings) -> DataFrame:
+    """``a, b``: the pairs of a node that are not connected, and not too far by sizes and lanes."""
+    columns = ["node", "cid", "component", "n", "lanes"]
+    here = rows.select(*columns).toDF("node", "a", "ca", "na", "la")
+    there = rows.select(*columns).toDF("node", "b", "cb", "nb", "lb")
+    unlike = F.lit(0)
+    for i in range(settings.minwise // 32):
+        bits = F.col("la")[i].bitwiseXOR(F.col("lb")[i])
+        unlike += F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sized("na", "nb", settings)
+    return here.join(there, "node").where(near & (unlike <= _differing(settings))).select("a", "b").distinct()
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
@@ -182,7 +211,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFra
         yield {name: batch.column(name).filter(keep) for name in ("a", "b")}
 
     met = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-    sized = met.where(100 * F.least("na", "nb") >= settings.percent * F.greatest("na", "nb"))
+    sized = met.where(_sized("na", "nb", settings))
     return map_arrow(sized.select("a", "b", "sa", "sb"), "a bigint, b bigint", each)
 
 
@@ -229,34 +258,37 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, settings:
 def links(classes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """``a, b``: confirmed links between classes that connect all that the trees bring together.
 
-    Full sets are needed twice: for the pairs with pivots, and for all pairs of small nodes
-    that the links so far leave unconnected. Between the two, large nodes are branched by
-    their sketches alone, several levels at a time.
+    Full sets are needed for the pairs with pivots, then for all pairs of small nodes that the
+    links so far leave unconnected, and at last for those of the nodes that stayed large.
+    In between, large nodes are branched by their sketches alone, several levels at a time.
     """
     spark = classes.sparkSession
     members = stored(spark, _members(_rooted(classes, settings)), "members")
     star = members.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
     found = _confirmed(_likely(star, classes, settings), classes, texts, settings)
-    parts = components(found).withColumnRenamed("id", "cid")
-    named = members.join(parts, "cid", "left").select("node", "cid", F.coalesce("component", "cid").alias("component"))
-    rows = stored(spark, _open(named), "open-nodes")
+    named = _named(members.select("node", "cid"), found)
+    rows = stored(spark, _open(named).join(classes.select("cid", "n", "lanes"), "cid"), "open-nodes")
     pairs, sketches, level = [], None, settings.first_levels
-    while level < settings.levels:
-        pairs.append(_unconnected(rows.where(F.col("m") <= settings.small)))
+    while True:
+        pairs.append(_unconnected(rows.where(F.col("m") <= settings.small), settings))
         large = rows.where(F.col("m") > settings.small)
-        if large.isEmpty():
+        if large.isEmpty() or level >= settings.levels:
             break
         if sketches is None:
             some = large.select("cid", "component").distinct()
-            sketches = stored(spark, some.join(classes.select("cid", "sketch"), "cid"), "sketches")
+            sketches = stored(spark, some.join(classes.select("cid", "n", "lanes", "sketch"), "cid"), "sketches")
         below = _branched(large.select("node", "cid").join(sketches, "cid"), settings)
-        rows = stored(spark, _open(below.join(sketches.select("cid", "component"), "cid")), "open-nodes")
+        rows = stored(spark, _open(below.join(sketches.drop("sketch"), "cid")), "open-nodes")
         level += settings.step
-    else:
-        # As deep as the trees go: what is left is compared whatever the size of its node.
-        pairs.append(_unconnected(rows))
     rest = reduce(DataFrame.unionAll, pairs)
-    return found.unionAll(_confirmed(_likely(rest, classes, settings), classes, texts, settings))
+    found = found.unionAll(_confirmed(_likely(rest, classes, settings), classes, texts, settings))
+    if not large.isEmpty():
+        # As deep as the trees go: what the links so far leave unconnected is compared
+        # whatever the size of its node.
+        named = _open(_named(large.select("node", "cid"), found)).join(classes.select("cid", "n", "lanes"), "cid")
+        rest = _unconnected(stored(spark, named, "last-nodes"), settings)
+        found = found.unionAll(_confirmed(_likely(rest, classes, settings), classes, texts, settings))
+    return found
 
 
 def _in_components(texts: DataFrame, settings: Settings) -> DataFrame:
@@ -265,12 +297,12 @@ def _in_components(texts: DataFrame, settings: Settings) -> DataFrame:
     signed = stored(spark, signatures(texts, settings), "signatures")
     classes = stored(
         spark,
-        signed.groupBy("one", "two", "n").agg(F.min(F.struct("k", "tag", "sketch")).alias("first"))
+        signed.groupBy("one", "two", "n").agg(F.min(F.struct("k", "tag", "sketch", "lanes")).alias("first"))
         .select("one", "two", "n", "first.*").withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
     parts = components(links(classes, texts, settings)).withColumnRenamed("id", "cid")
-    of_text = signed.drop("sketch").join(classes.select("one", "two", "n", "cid"), ["one", "two", "n"]).join(parts, "cid", "left")
+    of_text = signed.drop("sketch", "lanes").join(classes.select("one", "two", "n", "cid"), ["one", "two", "n"]).join(parts, "cid", "left")
     return of_text.select("k", "tag", "n", F.coalesce("component", "cid").alias("component"))
 
 

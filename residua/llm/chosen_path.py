@@ -49,10 +49,12 @@ class Settings:
     # Levels by which a large node is branched at a time.
     step: int = 3
     # Levels after which a node is compared whatever its size.
-    levels: int = 27
-    # A multiple of 32.
-    minwise: int = 128
-    # Standard deviations below the threshold at which a sketch rules a pair out.
+    levels: int = 9
+    # Minwise tokens to branch by, and those of which two bits are kept to rule pairs out (a
+    # multiple of 32).
+    minwise: int = 64
+    lanes: int = 512
+    # Standard deviations below the threshold at which the lanes rule a pair out.
     margin: float = 3.5
     seed: int = 5
 
@@ -73,8 +75,8 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 def _minwise(hashes: np.ndarray, ptr: np.ndarray, settings: Settings) -> np.ndarray:
     """The least hash of each text's set under each function, 32 bits each."""
     rng = np.random.default_rng(settings.seed)
-    factors = rng.integers(0, 1 << 63, settings.minwise, dtype=np.int64).astype(U64) * U64(2) + U64(1)
-    out = np.full((len(ptr) - 1, settings.minwise), 0xFFFFFFFF, np.uint32)
+    factors = rng.integers(0, 1 << 63, settings.lanes, dtype=np.int64).astype(U64) * U64(2) + U64(1)
+    out = np.full((len(ptr) - 1, settings.lanes), 0xFFFFFFFF, np.uint32)
     full = np.flatnonzero(np.diff(ptr))
     if len(full):
         for j, factor in enumerate(factors):
@@ -94,9 +96,10 @@ def signatures(texts: DataFrame, settings: Settings) -> DataFrame:
             hashes, ptr = shingles(w, settings.shingle)
             sums = [np.concatenate([[U64(0)], np.cumsum(mix(hashes ^ U64(salt)))]) for salt in (0, 0x5BD1E995)]
             one, two = ((s[ptr[1:]] - s[ptr[:-1]]).view(np.int64) for s in sums)
-            sketch = _minwise(hashes, ptr, settings).astype("<u4")
+            tokens = _minwise(hashes, ptr, settings)
+            sketch = tokens[:, : settings.minwise].astype("<u4")
             places = np.arange(0, 64, 2, dtype=U64)
-            lanes = ((sketch & 3).astype(U64).reshape(w.n_docs, -1, 32) << places).sum(axis=2, dtype=U64)
+            lanes = ((tokens & 3).astype(U64).reshape(w.n_docs, -1, 32) << places).sum(axis=2, dtype=U64)
             yield {
                 "lanes": fixed_lists(lanes.view(np.int64), pa.int64()),
                 "k": batch.column("k").slice(w.first, w.n_docs), "tag": batch.column("tag").slice(w.first, w.n_docs),
@@ -177,11 +180,17 @@ def _open(rows: DataFrame) -> DataFrame:
 def _differing(settings: Settings) -> int:
     """Lanes that differ in a pair at the threshold, and the margin above."""
     share = 0.75 * (1 - settings.percent / 100)
-    return math.floor(settings.minwise * share + settings.margin * math.sqrt(settings.minwise * share * (1 - share)))
+    return math.floor(settings.lanes * share + settings.margin * math.sqrt(settings.lanes * share * (1 - share)))
 
 
-def _sized(one: str, two: str, settings: Settings):
-    return 100 * F.least(one, two) >= settings.percent * F.greatest(one, two)
+def _near(settings: Settings):
+    """Whether sizes ``na, nb`` and lanes ``la, lb`` do not rule a pair out."""
+    unlike = F.lit(0)
+    for i in range(settings.lanes // 32):
+        bits = F.col("la")[i].bitwiseXOR(F.col("lb")[i])
+        unlike += F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    sized = 100 * F.least("na", "nb") >= settings.percent * F.greatest("na", "nb")
+    return sized & (unlike <= _differing(settings))
 
 
 def _unconnected(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -189,30 +198,17 @@ def _unconnected(rows: DataFrame, settings: Settings) -> DataFrame:
     columns = ["node", "cid", "component", "n", "lanes"]
     here = rows.select(*columns).toDF("node", "a", "ca", "na", "la")
     there = rows.select(*columns).toDF("node", "b", "cb", "nb", "lb")
-    unlike = F.lit(0)
-    for i in range(settings.minwise // 32):
-        bits = F.col("la")[i].bitwiseXOR(F.col("lb")[i])
-        unlike += F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sized("na", "nb", settings)
-    return here.join(there, "node").where(near & (unlike <= _differing(settings))).select("a", "b").distinct()
+    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _near(settings)
+    return here.join(there, "node").where(near).select("a", "b").distinct()
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Those of the distinct pairs ``a, b`` that sizes and sketches do not rule out."""
-    share = settings.percent / 100
-    least = share - settings.margin * math.sqrt(share * (1 - share) / settings.minwise)
-
+    """Those of the distinct pairs ``a, b`` that sizes and lanes do not rule out."""
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("cid").alias(name), F.col("n").alias(f"n{name}"), F.col("sketch").alias(f"s{name}"))
-
-    def each(batch):
-        near = (_sketches(batch.column("sa")) == _sketches(batch.column("sb"))).mean(axis=1) >= least
-        keep = pa.array(near)
-        yield {name: batch.column(name).filter(keep) for name in ("a", "b")}
+        return classes.select("cid", "n", "lanes").toDF(name, f"n{name}", f"l{name}")
 
     met = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-    sized = met.where(_sized("na", "nb", settings))
-    return map_arrow(sized.select("a", "b", "sa", "sb"), "a bigint, b bigint", each)
+    return met.where(_near(settings)).select("a", "b")
 
 
 def _sets(classes: DataFrame, wanted: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
@@ -281,13 +277,13 @@ def links(classes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame
         rows = stored(spark, _open(below.join(sketches.drop("sketch"), "cid")), "open-nodes")
         level += settings.step
     rest = reduce(DataFrame.unionAll, pairs)
-    found = found.unionAll(_confirmed(_likely(rest, classes, settings), classes, texts, settings))
+    found = found.unionAll(_confirmed(rest.distinct(), classes, texts, settings))
     if not large.isEmpty():
         # As deep as the trees go: what the links so far leave unconnected is compared
         # whatever the size of its node.
-        named = _open(_named(large.select("node", "cid"), found)).join(classes.select("cid", "n", "lanes"), "cid")
-        rest = _unconnected(stored(spark, named, "last-nodes"), settings)
-        found = found.unionAll(_confirmed(_likely(rest, classes, settings), classes, texts, settings))
+        last = _open(_named(large.select("node", "cid"), found)).join(classes.select("cid", "n", "lanes"), "cid")
+        rest = _unconnected(stored(spark, last, "last-nodes"), settings)
+        found = found.unionAll(_confirmed(rest, classes, texts, settings))
     return found
 
 

@@ -9,7 +9,8 @@ stands in the corpus itself, goes to its next attempt, until all are distinct. D
 without any mention are not moved.
 
 Names are entities word by word: a surname keeps its surrogate with and without the first
-name. The gender of a first name comes from its title or from a list.
+name. The gender of a first name comes from its title or from a list. Where a name was found
+once, all other places of its words in the text, capitalised or in capitals, are mentions too.
 
 Defined results: a null text stays null, an empty one empty. Repeated rows are treated alike.
 An empty table gives no rows. Other columns are ignored by ``pseudonymise`` and kept by
@@ -63,6 +64,8 @@ _TITLE_OF = {title: gender for gender, titles in TITLES.items() for title in tit
 _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)?"
 _TITLED = re.compile(rf"(?<!\w)({'|'.join(_TITLE_OF)})\.?[ \t]+({_NAME})(?:[ \t]+({_NAME}))?")
 _NAMED = re.compile(rf"(?<!\w)({'|'.join(_GENDER_OF)})[ \t]+({_NAME})")
+_WHOLE_NAME = re.compile(rf"(?<!\w){_NAME}(?!\w)")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 # Hints begin with a set of letters, which is quick to look for; a title or name must follow.
 _TITLE = re.compile(rf"(?:{'|'.join(_TITLE_OF)})(?!\w)")
@@ -105,6 +108,12 @@ def _capital(word: str | None) -> bool:
     return bool(word) and word[0].isupper() and len(word) > 1
 
 
+def _name(m: re.Match, group: int, kind: str) -> Mention:
+    """A name without the ending of the genitive."""
+    word = re.sub("['’][sS]$", "", m[group])
+    return Mention(m.start(group), m.start(group) + len(word), kind, word.casefold())
+
+
 def _names(text: str) -> Iterator[Mention]:
     if _TITLE.search(text):
         for m in _TITLED.finditer(text):
@@ -113,15 +122,15 @@ def _names(text: str) -> Iterator[Mention]:
                 continue
             if _capital(two):
                 gender = gender if gender != "u" else _GENDER_OF.get(one, "u")
-                yield Mention(*m.span(2), f"first_{gender}_{_script(one)}", one.casefold())
-                yield Mention(*m.span(3), f"surname_{_script(two)}", two.casefold())
+                yield _name(m, 2, f"first_{gender}_{_script(one)}")
+                yield _name(m, 3, f"surname_{_script(two)}")
             else:
-                yield Mention(*m.span(2), f"surname_{_script(one)}", one.casefold())
+                yield _name(m, 2, f"surname_{_script(one)}")
     if _FIRST_NAME.search(text):
         for m in _NAMED.finditer(text):
             if _capital(m[2]):
                 yield Mention(*m.span(1), f"first_{_GENDER_OF[m[1]]}_{_script(m[1])}", m[1].casefold())
-                yield Mention(*m.span(2), f"surname_{_script(m[2])}", m[2].casefold())
+                yield _name(m, 2, f"surname_{_script(m[2])}")
 
 
 def _numbers(text: str) -> Iterator[Mention]:
@@ -164,6 +173,38 @@ def mentions(text: str) -> list[Mention]:
     return out
 
 
+def all_mentions(text: str) -> list[Mention]:
+    """``mentions``, and all other places of the names among them; no further entities."""
+    found = mentions(text)
+    names: dict[str, Mention] = {}
+    for m in found:
+        if m.kind.startswith(("first_", "surname_")):
+            names.setdefault(m.value, m)
+    if not names:
+        return found
+    again = [Mention(start, end, names[value].kind, value) for start, end, value in _named_again(text, names)]
+    out: list[Mention] = []
+    at, n = 0, len(found)
+    for m in again:
+        while at < n and found[at].end <= m.start:
+            out.append(found[at])
+            at += 1
+        if at == n or m.end <= found[at].start:
+            out.append(m)
+    return out + found[at:]
+
+
+def _named_again(text: str, names: dict[str, Mention]) -> Iterator[tuple[int, int, str]]:
+    for m in _WHOLE_NAME.finditer(text):
+        word = m[0]
+        if (value := word.casefold()) in names and word[0].isupper():
+            yield *m.span(), value
+        elif not word.isalpha():
+            for part in _LETTERS.finditer(text, *m.span()):
+                if (value := part[0].casefold()) in names and part[0][0].isupper():
+                    yield *part.span(), value
+
+
 class Draw:
     """Numbers drawn from a keyed hash."""
 
@@ -339,7 +380,7 @@ def _replaced(column: pa.Array, kinds: pa.Array, values: pa.Array, surrogates: p
         text = text.as_py()
         names = {(k, v): s for k, v, s in zip(*(x.as_py() for x in known))}
         parts, at = [], 0
-        for m in mentions(text):
+        for m in all_mentions(text):
             parts += [text[at : m.start], rendered(text[m.start : m.end], m.kind, names[m.kind, m.value])]
             at = m.end
         out.append("".join([*parts, text[at:]]))

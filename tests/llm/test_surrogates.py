@@ -115,3 +115,25 @@ def test_collisions_are_resolved(spark, monkeypatch):
 def test_key_and_order(spark, documents):
     one = bag(s.pseudonymise(documents, KEY))
     assert one == bag(s.pseudonymise(documents.repartition(5), KEY)) != bag(s.pseudonymise(documents, b"other"))
+
+
+@pytest.mark.parametrize("text", [
+    "Mr. John Smith came. Smith said so, and SMITH; John left, Smith's hat (JOHN'S) and Smith-Jones stayed.",
+    "Smith was here before Dr. Smith’s letter to Anna Müller. MÜLLER and Anna, Müller.",
+    "Mrs O'Neil and Herr Meyer-Lang: O'Neil, MEYER-LANG, O'NEIL.",
+    "Господин Иванов. Позже Иванов и ИВАНОВ.",
+])
+def test_no_name_that_was_found_is_left(spark, text):
+    found = {m.value: m.kind for m in s.mentions(text)}
+    rows = s.without_personal_data(as_docs(spark, [(1, text)]), KEY).collect()
+    names = {r["value"]: r["surrogate"] for r in s.assigned(spark.createDataFrame([(k, v) for v, k in found.items()], "kind string, value string"), KEY).collect()}
+    want = text
+    for value in sorted(names, key=len, reverse=True):
+        want = re.sub(rf"(?<!\w){value}(?!\w)", lambda m: names[value].upper() if m[0].isupper() else names[value].capitalize(), want, flags=re.I)
+    assert rows[0]["text"] == want
+    assert not [v for v in found if re.search(rf"(?<!\w){v}(?!\w)", rows[0]["text"], re.I)]
+
+
+def test_words_that_only_look_like_a_name_stay():
+    text = "Mr. Long met a long line at smith@long.org; Longer."
+    assert [(m.kind, m.value) for m in s.all_mentions(text)] == [("surname_latin", "long"), ("email", "smith@long.org")]

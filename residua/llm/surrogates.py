@@ -1,7 +1,7 @@
 """Replaces personal data by surrogates of the same type, gender, script and format.
 
 Found are e-mail addresses, phone numbers, payment card and account numbers, social security
-numbers, IP addresses, secrets (tokens, keys, passwords) and names of persons. An entity is a
+numbers, IPv4 and IPv6 addresses, secrets (tokens, keys, passwords) and names of persons. An entity is a
 kind and a value in one spelling, so that all mentions of it, in whatever format and document,
 get one surrogate. A surrogate is drawn from a keyed hash of the entity and an attempt number;
 the candidates of all entities meet in Spark, and one that another entity also drew, or that
@@ -20,6 +20,7 @@ An empty table gives no rows. Other columns are ignored by ``pseudonymise`` and
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -86,9 +87,24 @@ _NUMBER = re.compile(
     rf"(?P<ip>(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d))"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\w))"
-    r"|(?P<phone>(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\)[ ]?\d{3}[.-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w))"
+    r"|(?P<phone>(?:"
+    # Eight digits or more in groups of any size, or fewer in groups of two to four.
+    r"\+(?=\d(?:[ .()-]{0,3}\d){7})\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{1,4}){1,5}"
+    r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}"
+    r"|(?:(?<!\d-)1[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|(?:(?<!\d-)1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}"
+    # National numbers with their leading zero, but no dates.
+    r"|\(0\d{1,4}\)[ .-]?\d{2,8}(?:[ .-]?\d{2,8}){0,3}"
+    r"|(?<!\d-)(?!\d\d(?:\.\d\d\.|-\d\d-)\d{4}(?!\d))(?=0[1-9](?:[ .-]?\d){6})0[1-9]\d{0,3}(?:[ .-]?\d{2,8}){1,4}"
+    r")(?!\w))"
     r")"
 )
+# The country code of North America without its plus.
+_TRUNK = re.compile(r"1(?:[ .-]\d{3}[ .-]|[ .-]?\()")
+_CARD = re.compile(r"(?<![\w.])(?<!\d-)\d{4}(?:[ -]?\d){9,}")
+_GROUPS = re.compile(r"\d+")
+# A quick hint, and what can be an IPv6 address.
+_COLONS = re.compile(r":[0-9A-Fa-f]{0,4}:")
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,8}[0-9A-Fa-f]{0,4}(?!\w|:\w|\.\d)")
 
 
 @dataclass(frozen=True)
@@ -140,6 +156,32 @@ def _numbers(text: str) -> Iterator[Mention]:
         for m in _NUMBER.finditer(text, max(run.start() - 2, end), min(run.end() + 1, len(text))):
             end = m.end()
             yield _number(m)
+        if run.end() - run.start() >= 13:
+            for m in _CARD.finditer(text, run.start(), run.end()):
+                yield from _card(text, m)
+
+
+def _card(text: str, m: re.Match) -> Iterator[Mention]:
+    """The longest row of whole groups with 13 to 19 digits and the right check digit."""
+    for group in reversed([*_GROUPS.finditer(text, *m.span())]):
+        digits = re.sub(r"\D", "", text[m.start() : group.end()])
+        if 13 <= len(digits) <= 19 and luhn(digits) == 0 and not re.match(r"\w", text[group.end() : group.end() + 1]):
+            yield Mention(m.start(), group.end(), "card", digits)
+            return
+
+
+def _ipv6(text: str) -> Iterator[Mention]:
+    for m in _IPV6.finditer(text):
+        # A colon may follow the address.
+        for found in (m[0], m[0].removesuffix(":")):
+            try:
+                value = ipaddress.IPv6Address(found)
+            except ValueError:
+                continue
+            # Names with two colons between letters are no addresses; the loopback tells nothing.
+            if int(value) > 1 and (re.search(r"\d", found) or len(re.findall(r"\w+", found)) > 2):
+                yield Mention(m.start(), m.start() + len(found), "ip6", ":".join(re.findall("....", f"{int(value):032x}")))
+            break
 
 
 def _number(m: re.Match) -> Mention:
@@ -149,6 +191,8 @@ def _number(m: re.Match) -> Mention:
     if kind == "phone":
         code = re.match(r"\+\d{1,3}(?=[ .(-])", m[0])
         value = f"{code[0] if code else ''}|{value[len(code[0]) if code else 0:]}"
+        if _TRUNK.match(m[0]):
+            value = f"+1|{value[2:]}"
     return Mention(*m.span(), kind, value)
 
 
@@ -162,6 +206,8 @@ def mentions(text: str) -> list[Mention]:
     if "AKIA" in text:
         found += [Mention(*m.span(), "secret", m[0]) for m in _KEY_ID.finditer(text)]
     found += _numbers(text)
+    if _COLONS.search(text):
+        found += _ipv6(text)
     if _ACCOUNT.search(text):
         found += [Mention(*m.span(), "iban", m[0].replace(" ", "")) for m in _IBAN.finditer(text) if _iban_rest(m[0].replace(" ", "")) == 1]
     found += _names(text)
@@ -264,6 +310,32 @@ def _ip(value: str, draw: Draw) -> str:
     return ".".join(map(str, drawn))
 
 
+def _ip6(value: str, attempt: int, draw: Draw) -> str:
+    """Link-local, local and multicast addresses stay such; groups keep their lengths at first."""
+    groups = [int(g, 16) for g in value.split(":")]
+    out = []
+    for i, g in enumerate(groups):
+        low, high = (1, 0xFFFF) if attempt >= 4 else (16 ** (len(f"{g:x}") - 1), 16 ** len(f"{g:x}") - 1)
+        drawn = low + draw.below(high - low + 1)
+        if i == 0 and g:
+            # The first group says what kind of address it is.
+            drawn = g if g >> 8 >= 0xFC else 0x2000 + draw.below(0x1000)
+        out.append(drawn if g or (attempt >= 16 and i) else 0)
+    return ":".join(f"{g:04x}" for g in out)
+
+
+def _as_ip6(mention: str, surrogate: str) -> str:
+    left, two, right = mention.partition("::")
+    left, right = ([g for g in x.split(":") if g] for x in (left, right))
+    groups = surrogate.split(":")
+    if two and any(int(g, 16) for g in groups[len(left) : 8 - len(right)]):
+        return surrogate
+    write = lambda old, new: f"{int(new, 16):0{len(old)}x}" if len(old) > 1 and old[0] == "0" else f"{int(new, 16):x}"
+    parts = [":".join(write(o, n) for o, n in zip(old, new)) for old, new in ((left, groups), (right, groups[8 - len(right) :]))]
+    out = two.join(parts) if two else parts[0]
+    return out.upper() if re.search("[A-F]", mention) else out
+
+
 def candidate(kind: str, value: str, attempt: int, key: bytes) -> str:
     """The surrogate of an entity at an attempt; later attempts have more to choose from."""
     draw = Draw(key, kind, value, str(attempt))
@@ -277,9 +349,15 @@ def candidate(kind: str, value: str, attempt: int, key: bytes) -> str:
         return f"{_same_classes(local, draw)}{more}@{'.'.join([*named, labels[-1]])}"
     if kind == "ip":
         return _ip(value, draw)
+    if kind == "ip6":
+        return _ip6(value, attempt, draw)
     if kind == "phone":
         code, rest = value.split("|")
-        return f"{code}|{''.join(str(draw.below(10)) for _ in rest)}"
+        drawn = "".join(str(draw.below(10)) for _ in rest)
+        if not code and rest[0] == "0":
+            # A national number keeps its leading zero.
+            drawn = f"0{1 + draw.below(9)}{drawn[2:]}" if rest[1] != "0" else f"0{drawn[1:]}"
+        return f"{code}|{drawn}"
     if kind in ("card", "ssn"):
         digits = value[0] + "".join(str(draw.below(10)) for _ in value[1:])
         if kind == "card" and luhn(value) == 0:
@@ -309,6 +387,8 @@ def rendered(mention: str, kind: str, surrogate: str) -> str:
     if kind in ("phone", "card", "ssn"):
         fresh = iter(re.sub(r"\D", "", surrogate))
         return re.sub(r"\d", lambda _: next(fresh), mention)
+    if kind == "ip6":
+        return _as_ip6(mention, surrogate)
     if kind == "iban":
         fresh = iter(surrogate)
         return re.sub(r"[^ ]", lambda _: next(fresh), mention)

@@ -137,3 +137,37 @@ def test_no_name_that_was_found_is_left(spark, text):
 def test_words_that_only_look_like_a_name_stay():
     text = "Mr. Long met a long line at smith@long.org; Longer."
     assert [(m.kind, m.value) for m in s.all_mentions(text)] == [("surname_latin", "long"), ("email", "smith@long.org")]
+
+
+MORE = {
+    "phone": ["+33 1 23 45 67 89", "(555) 123 4567", "555 123 4567", "555.123.4567", "030 1234567", "01 23 45 67 89", "0171-1234567", "(030) 1234567",
+              "1-800-555-1234", "1 (555) 123-4567", "+44 20 7946 0958", "+12 3456"],
+    "card": ["3782 822463 10005", "3782-822463-10005", "4111 1111 1111 1111", "4222 222 222 222", "6304 0000 0000 0000 000"],
+    "ip6": ["2001:db8:85a3:0:0:8a2e:370:7334", "2001:0db8::8A2E:0370:7334", "fe80::1ff:fe23:4567:890a", "2001:db8::", "::ffff:c000:280"],
+}
+
+
+@pytest.mark.parametrize(("kind", "text"), [(k, t) for k, ts in MORE.items() for t in ts])
+def test_more_formats_are_found_and_replaced(kind, text):
+    if text == "6304 0000 0000 0000 000":
+        text = next(x for x in (text[:-1] + d for d in "0123456789") if s.luhn(x.replace(" ", "")) == 0)
+    for line in (f"word {text}, word", f"({text})", f"at {text}: word"):
+        found = s.mentions(line)
+        assert [(m.kind, line[m.start : m.end]) for m in found] == [(kind, text)], line
+    value = s.mentions(text)[0].value
+    for attempt in (0, 5):
+        drawn = s.candidate(kind, value, attempt, KEY)
+        new = s.rendered(text, kind, drawn)
+        assert new != text and [(m.kind, m.value) for m in s.mentions(f"word {new}, word")] == [(kind, drawn)]
+    if kind != "ip6":
+        assert shape(new) == shape(text)
+
+
+def test_spellings_of_a_number_are_one_entity():
+    for one, two in (("2001:db8::8a2e:370", "2001:0DB8:0:0:0:0:8A2E:0370"), ("+1 800 555 1234", "1-800-555-1234"), ("3782 822463 10005", "378282246310005")):
+        assert [(m.kind, m.value) for m in s.mentions(one)] == [(m.kind, m.value) for m in s.mentions(two)]
+
+
+def test_other_numbers_stay():
+    for text in ["on 01.02.2024 and 01-02-2024", "2024-01-02 10:20:30", "0.12345678 and 007", "std::vector a::b ::1 x::", "3782 822463 10006", "10:20:30:40"]:
+        assert s.mentions(text) == [], text

@@ -32,6 +32,10 @@ BLOCK = frozenset(
 )
 # Their text is never shown as text.
 HIDDEN = frozenset("head script style noscript template svg math iframe object canvas audio video select textarea button title".split())
+# What a head can hold; any other element ends a head that was left open.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+# Only these, and what is in them, can be closed by the slash of their own tag.
+FOREIGN = frozenset(["svg", "math"])
 BESIDE = frozenset("nav aside footer form menu dialog".split())
 BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 BESIDE_WORDS = frozenset(
@@ -112,6 +116,7 @@ class _Lines(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._tag()
+        self._end_head(tag)
         if tag in BLOCK:
             self._new_line()
             if any(e.tag == "p" for e in self.open) and tag != "html":
@@ -132,7 +137,16 @@ class _Lines(HTMLParser):
         self.tag_of[self.count] = tag
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        before = self.count
         self.handle_starttag(tag, attrs)
+        if self.count > before and any(e.tag in FOREIGN for e in self.open):
+            self.open.pop()
+
+    def _end_head(self, tag: str | None) -> None:
+        """Closes an open head before ``body``, and before text or a tag that it cannot hold."""
+        if tag == "body" or (self.open and self.open[-1].tag == "head" and tag not in IN_HEAD):
+            if any(e.tag == "head" for e in self.open):
+                self._close("head")
 
     def handle_endtag(self, tag: str) -> None:
         self._tag()
@@ -156,6 +170,8 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._end_head(None)
         if self.open and self.open[-1].hidden:
             return
         if self.line is None and not data.strip():

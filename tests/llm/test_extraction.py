@@ -48,6 +48,20 @@ def test_kinds_of_pages(page, want):
     assert e.extract(page) == want
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    (f"<html><head><title>T</title><meta charset=utf-8><body><p>{LONG}</p></body></html>", LONG),
+    (f"<html><head><title>T</title><style>p {{}}</style><p>{LONG}</p></html>", LONG),
+    (f"<head><script>var a;</script><noscript><link href=x></noscript>{LONG}", LONG),
+    (f"<head><noscript><link href=x><body><p>{LONG}</p>", LONG),
+    (f"<head><title>T</title></head><template><p>x</p></template><p>{LONG}</p>", LONG),
+    (f"<article><svg viewBox='0 0 1 1'/><p>{LONG}</p><math/><p>{LONG}</p></article>", f"{LONG} {LONG}"),
+    (f"<article><svg><path d=x /><g/><text>not shown</text></svg><p>{LONG}</p></article>", LONG),
+    (f"<article><div/><p>{LONG}</p></article>", LONG),
+])
+def test_heads_and_drawings_hide_no_more_than_themselves(page, want):
+    assert e.extract(page) == want
+
+
 def test_edges(spark):
     rows = [(1, None, None, "t", 1), (1, None, None, "t", 1), (None, "u", "<p>x</p>", "t", 1), (2, "u", "<div>" * 3000 + LONG, "t", 1)]
     got = bag(e.main_text(spark.createDataFrame(rows, SCHEMA)))

@@ -2,7 +2,10 @@
 
 The events of the standard library's parser are cut into lines, one per block element. A
 line's ratio is its characters per tag; lines of menus, forms, adverts and the like, known by
-their element or the words of its class, id and role, have ratio 0. Ratios are smoothed with a
+their element or role or the words of its class and id, have ratio 0. The words do not count
+on headings, on elements round most of the page, and above its only article or main element; words
+that also name parts of an article count only where most of the element's text is of low ratio.
+Ratios are smoothed with a
 Gaussian kernel and split into two clusters by the threshold half-way between the clusters'
 means. The smallest element that holds nearly all text of the upper cluster is the content
 region, and its lines, but for the kinds named above, are the main text: short paragraphs of an
@@ -45,6 +48,13 @@ BESIDE_WORDS = frozenset(
     "respond discussion share sharing social related recommended newsletter subscribe subscription signup login search "
     "pagination pager widget skip copyright disclaimer".split()
 )
+# Those of the words that articles use for their own parts as well.
+WEAK_WORDS = frozenset(
+    "advertising sponsor sponsored promo promotion banner menu submenu toolbar notice notices consent notification alert "
+    "overlay reply replies respond discussion share sharing social related recommended subscription search widget skip "
+    "copyright disclaimer login".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # A page has one of these around its content, as a rule.
 MAIN = frozenset(["article", "main"])
 _SIGMA, _RADIUS = 1.0, 2
@@ -60,6 +70,12 @@ class Line:
     beside: bool
     path: tuple[int, ...]
     heading: bool
+    # Elements around the line that their class or id names as beside; how many of them are
+    # above the outermost article or main element, -1 without one.
+    named: tuple[int, ...] = ()
+    above: int = -1
+    # In a first heading, article or main element.
+    title: bool = False
 
     @property
     def text(self) -> str:
@@ -72,9 +88,12 @@ class Element:
     number: int
     beside: bool
     hidden: bool
+    named: tuple[int, ...] = ()
+    above: int = -1
 
 
-def _named_beside(tag: str, attrs: list[tuple[str, str | None]], inside_main: bool) -> bool:
+def _beside(tag: str, attrs: list[tuple[str, str | None]], inside_main: bool) -> bool:
+    """Whether the element or its role says that it is beside the main text."""
     if tag in BESIDE or (tag == "header" and not inside_main):
         return True
     for name, value in attrs:
@@ -82,12 +101,17 @@ def _named_beside(tag: str, attrs: list[tuple[str, str | None]], inside_main: bo
             return True
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
-        if name in ("class", "id") and tag not in ("html", "body", *MAIN) and value:
-            if any(word.lower() in BESIDE_WORDS for word in _WORD.findall(value)):
-                return True
     return False
 
 
+def _name_words(tag: str, attrs: list[tuple[str, str | None]]) -> set[str]:
+    """The words of its class and id that say so."""
+    if tag in ("html", "body", *MAIN, *HEADINGS):
+        return set()
+    values = [value for name, value in attrs if name in ("class", "id") and value]
+    return {word.lower() for value in values for word in _WORD.findall(value)} & BESIDE_WORDS
+
+
 class _Lines(HTMLParser):
     """Cuts parser events into lines."""
 
@@ -96,6 +120,8 @@ class _Lines(HTMLParser):
         self.lines: list[Line] = []
         self.open: list[Element] = []
         self.tag_of: dict[int, str] = {}
+        # Whether the words of a named element are all weak.
+        self.weak: dict[int, bool] = {}
         self.pending = 0
         self.count = 0
         self.line: Line | None = None
@@ -108,7 +134,8 @@ class _Lines(HTMLParser):
             top = self.open[-1] if self.open else None
             self.line = Line(
                 [], self.pending, bool(top and top.beside), tuple(e.number for e in self.open if e.tag in BLOCK),
-                any(e.tag in ("h1", "h2", "h3", "h4", "h5", "h6") for e in self.open[-3:]),
+                any(e.tag in HEADINGS for e in self.open[-3:]),
+                top.named if top else (), top.above if top else -1, bool(top and top.above >= 0) or any(e.tag == "h1" for e in self.open),
             )
             self.pending = 0
             self.lines.append(self.line)
@@ -130,9 +157,16 @@ class _Lines(HTMLParser):
         above = self.open[-1] if self.open else None
         self.count += 1
         inside_main = any(e.tag in MAIN for e in self.open)
+        named = above.named if above else ()
+        names_above = above.above if above else -1
+        if names_above < 0 and tag in MAIN:
+            names_above = len(named)
+        if words := _name_words(tag, attrs):
+            named = (*named, self.count)
+            self.weak[self.count] = words <= WEAK_WORDS
         self.open.append(Element(
-            tag, self.count, bool(above and above.beside) or _named_beside(tag, attrs, inside_main),
-            bool(above and above.hidden) or tag in HIDDEN,
+            tag, self.count, bool(above and above.beside) or _beside(tag, attrs, inside_main),
+            bool(above and above.hidden) or tag in HIDDEN, named, names_above,
         ))
         self.tag_of[self.count] = tag
 
@@ -199,11 +233,54 @@ def threshold(values: np.ndarray) -> float:
     return at
 
 
+def _judge_names(lines: list[Line], weak: dict[int, bool]) -> None:
+    """Marks the lines as beside that are in an element so named."""
+    sizes = np.array([0 if line.beside else len(line.text) for line in lines], float)
+    ratios = sizes / np.array([max(line.tags, 1) for line in lines])
+    if not ratios.any():
+        return
+    high = ratios >= threshold(smoothed(ratios))
+    held: dict[int, float] = {}
+    titled: set[int] = set()
+    for line, n in zip(lines, sizes):
+        for k in line.named:
+            held[k] = held.get(k, 0) + n
+        if line.title and n:
+            titled.update(line.named)
+    # An element that holds most of the text is a wrapper, unless there is content outside.
+    ignored: set[int] = set()
+    for k in sorted(k for k, n in held.items() if 2 * n > sizes.sum()):
+        free = [i for i, line in enumerate(lines) if sizes[i] and k not in line.named and ignored.issuperset(line.named)]
+        title = any(lines[i].title for i in free)
+        outside = sum(sizes[i] for i in free if high[i] and not lines[i].heading)
+        if not outside or (not title and (k in titled or outside < (1 - REGION_SHARE) * (held[k] + outside))):
+            ignored.add(k)
+    # Without an article or main element outside of all that is named, those inside count.
+    if not any(line.above >= 0 and n and ignored.issuperset(line.named[: line.above]) for line, n in zip(lines, sizes)):
+        for line in lines:
+            line.named = line.named[max(line.above, 0) :]
+    strong = np.array([any(not weak[k] and k not in ignored for k in line.named) for line in lines], bool)
+    values = np.where(strong, 0, ratios)
+    high = ratios >= threshold(smoothed(values)) if values.any() else np.zeros(len(lines), bool)
+    own: dict[int, float] = {}
+    dense: dict[int, float] = {}
+    for line, n, up in zip(lines, sizes, high):
+        for k in line.named:
+            own[k] = own.get(k, 0) + n
+            dense[k] = dense.get(k, 0) + n * bool(up)
+    ignored |= {k for k, n in own.items() if weak[k] and 2 * dense[k] >= n > 0}
+    for line in lines:
+        line.beside = line.beside or not ignored.issuperset(line.named)
+
+
 def lines_of(html: str) -> tuple[list[Line], dict[int, str]]:
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    return [line for line in parser.lines if line.text], parser.tag_of
+    lines = [line for line in parser.lines if line.text]
+    if any(line.named for line in lines):
+        _judge_names(lines, parser.weak)
+    return lines, parser.tag_of
 
 
 def extract(html: str | None) -> str:

@@ -62,6 +62,31 @@ def test_heads_and_drawings_hide_no_more_than_themselves(page, want):
     assert e.extract(page) == want
 
 
+ARTICLE = f"<h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+TEXT = f"Title {LONG} Short. {LONG}"
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    *[(f"<body><nav><a href=/>Home</a></nav><div class='{name}'>{around}</div></body>", TEXT)
+      for name in ("content-sidebar-wrap", "site has-sidebar", "no-sidebar") for around in (
+          f"<article>{ARTICLE}</article>", f"<main>{ARTICLE}</main>", f"<div>{ARTICLE}</div>",
+          f"<div>{ARTICLE}</div><div class='sidebar'><p>{LONG}</p></div>", f"<article>{ARTICLE}</article><div id='comments'><article><p>{LONG}</p></article></div>",
+          f"<div class='no-comments'>{ARTICLE}</div>")],
+    (f"<h1>Site</h1><div class='has-sidebar'><article>{ARTICLE}{f'<p>{LONG}</p>' * 8}</article></div><p>{LONG}</p>", f"{TEXT}{f' {LONG}' * 8}"),
+    (f"<nav>{LONG}<article>{LONG}</article></nav><article>{ARTICLE}</article>", TEXT),
+    (f"<div role='complementary'><article>{LONG}</article></div><article>{ARTICLE}</article>", TEXT),
+    (f"<article>{ARTICLE}<section id='discussion'><h2>Discussion</h2><p>{LONG}</p></section></article>", f"{TEXT} Discussion {LONG}"),
+    (f"<article>{ARTICLE}<h2 id='related-work'>Related work</h2><p>{LONG}</p></article>", f"{TEXT} Related work {LONG}"),
+    (f"<article><div class='post share'>{ARTICLE}</div></article>", TEXT),
+    (f"<article>{ARTICLE}<p class='notice'>{LONG}</p><div class='share'><a href=a>Mail</a><a href=b>Print</a></div></article>", f"{TEXT} {LONG}"),
+    (f"<div>{ARTICLE}</div><div id='comments'>{f'<p>{LONG}</p>' * 9}</div>", TEXT),
+    (f"<article>{ARTICLE}</article><div id='comments'>{f'<article><p>{LONG}</p></article>' * 9}</div>", TEXT),
+    (f"<article>{ARTICLE}<div id='comments'>{f'<article><p>{LONG}</p></article>' * 9}</div></article>", TEXT),
+])
+def test_names_of_wrappers_and_parts(page, want):
+    assert e.extract(page) == want
+
+
 def test_edges(spark):
     rows = [(1, None, None, "t", 1), (1, None, None, "t", 1), (None, "u", "<p>x</p>", "t", 1), (2, "u", "<div>" * 3000 + LONG, "t", 1)]
     got = bag(e.main_text(spark.createDataFrame(rows, SCHEMA)))

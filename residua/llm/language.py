@@ -73,11 +73,8 @@ def _cut(data: np.ndarray, lo: int, hi: int) -> int:
     return hi
 
 
-def grams(points: np.ndarray, doc: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams, and the text of each; texts follow one another in ``doc``.
-
-    Every text begins and ends with a blank, so no n-gram reaches into the next.
-    """
+def _kept(points: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letters, lower-cased where ASCII, and one blank a run of others; which are letters; the texts."""
     letter = is_letter(points)
     points = np.where((points >= 65) & (points <= 90), points + 32, points)
     points = np.where(letter, points, _BLANK).astype(U64)
@@ -85,7 +82,16 @@ def grams(points: np.ndarray, doc: np.ndarray, settings: Settings) -> tuple[np.n
     keep[1:] |= letter[:-1]
     keep[1:] |= doc[1:] != doc[:-1]
     keep[:1] = True
-    points, letter, doc = points[keep], letter[keep], doc[keep]
+    return points[keep], letter[keep], doc[keep]
+
+
+def grams(points: np.ndarray, doc: np.ndarray, settings: Settings, carried: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams, and the text of each; texts follow one another in ``doc``.
+
+    Every text begins and ends with a blank, so no n-gram reaches into the next. N-grams that
+    end in the first ``carried`` characters, which an earlier part had, are left to that part.
+    """
+    points, letter, doc = _kept(points, doc)
     shift = U64(64 - settings.bits)
     buckets, owners = [], []
     run = np.zeros(len(points), U64)
@@ -96,6 +102,7 @@ def grams(points: np.ndarray, doc: np.ndarray, settings: Settings) -> tuple[np.n
         run = run[:size] * WORD_BASE + points[n - 1 :]
         if n in settings.orders:
             whole = (doc[:size] == doc[n - 1 :]) & (letter[:size] | letter[n - 1 :])
+            whole[: max(carried - n + 1, 0)] = False
             buckets.append((mix(run[whole] + U64(n)) >> shift).astype(np.int64))
             owners.append(doc[:size][whole])
     if not buckets:
@@ -103,26 +110,30 @@ def grams(points: np.ndarray, doc: np.ndarray, settings: Settings) -> tuple[np.n
     return np.concatenate(buckets), np.concatenate(owners)
 
 
-def _parts(column):
+def _parts(column, settings: Settings):
     """Code points of some texts at a time, and the text of each; long texts come in parts.
 
-    Parts of one text meet between characters; the n-grams across the cut are left out.
+    Parts of one text meet between characters. A part begins with the last characters that were
+    kept of those before it, for the n-grams across the cut; their number is the third value.
     """
+    reach = max(*settings.orders, 2) - 1
     data, offsets = text_bytes(column)
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + _CHARS_AT_ONCE, "right")) - 1
         if hi > lo:
             hi = min(hi, n)
-            yield _joined(data, offsets, lo, hi)
+            yield *_joined(data, offsets, lo, hi), 0
             lo = hi
             continue
-        at = int(offsets[lo])
+        at, tail = int(offsets[lo]), np.zeros(0, np.uint32)
         while at < offsets[lo + 1]:
             last = int(offsets[lo + 1])
             end = last if at + _CHARS_AT_ONCE >= last else _cut(data, at, at + _CHARS_AT_ONCE)
-            part = _points(data[at:end])
-            yield part, np.full(len(part), lo, np.int64)
+            part = np.concatenate([tail, _points(data[at:end])])
+            doc = np.full(len(part), lo, np.int64)
+            yield part, doc, len(tail)
+            tail = _kept(part, doc)[0][-reach:].astype(np.uint32)
             at = end
         lo += 1
 
@@ -155,8 +166,8 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
                 raise ValueError(f"more than {settings.max_languages} languages; raise max_languages")
             index = np.array([names[x] for x in langs], np.int64)
             total = np.zeros(len(names) * buckets, np.int64)
-            for points, doc in _parts(batch.column("text")):
-                bucket, owner = grams(points, doc, settings)
+            for points, doc, carried in _parts(batch.column("text"), settings):
+                bucket, owner = grams(points, doc, settings, carried)
                 total += np.bincount(index[owner] * buckets + bucket, minlength=len(total))
             for name, k in names.items():
                 counts[name] = counts.get(name, 0) + total[k * buckets : (k + 1) * buckets]
@@ -183,8 +194,8 @@ def _scores(column, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Sums of log-probabilities by text and language, and n-grams by text."""
     rows = len(column)
     total, grams_of = np.zeros((rows, len(model.languages))), np.zeros(rows, np.int64)
-    for points, doc in _parts(column):
-        bucket, owner = grams(points, doc, model.settings)
+    for points, doc, carried in _parts(column, model.settings):
+        bucket, owner = grams(points, doc, model.settings, carried)
         if not len(bucket):
             continue
         lo = int(doc[0])

@@ -83,3 +83,28 @@ def test_long_texts_are_read_whole(spark, monkeypatch):
     monkeypatch.setattr(l, "_CHARS_AT_ONCE", 1000)
     total, n = l._scores(pa.array([text, "é" * 3000]), model)
     assert total[0].argmax() == 1 and n[0] > 50_000
+
+
+@pytest.mark.parametrize("at_once", [4, 5, 6, 7, 100])
+@pytest.mark.parametrize("orders", [(1, 2, 3, 4), (1,), (3,)])
+def test_parts_of_long_texts_count_as_the_whole(monkeypatch, at_once, orders):
+    pa, np = __import__("pyarrow"), __import__("numpy")
+    texts = ["The  end, é日本 12345678901 of it... " * 5, "!!!---???", "", "  a", "b  ", "x1y" * 40, "Ünïcödé" * 20, "...." * 30 + "z" + "----" * 30]
+    settings = l.Settings(orders=orders)
+
+    def counted():
+        out = Counter()
+        for points, doc, carried in l._parts(pa.array(texts), settings):
+            bucket, owner = l.grams(points, doc, settings, carried)
+            out.update(zip(owner.tolist(), bucket.tolist()))
+        return out
+
+    whole = counted()
+    assert {i for i, _ in whole} <= {0, 3, 4, 5, 6, 7} and sum(whole.values()) > 200
+    # Both the scores and the training are sums of these.
+    model = l.Model(["a"], np.random.default_rng(1).random((1, 1 << settings.bits)), settings)
+    total, n = l._scores(pa.array(texts), model)
+    monkeypatch.setattr(l, "_CHARS_AT_ONCE", at_once)
+    assert counted() == whole
+    cut_total, cut_n = l._scores(pa.array(texts), model)
+    assert cut_n.tolist() == n.tolist() and np.allclose(cut_total, total)

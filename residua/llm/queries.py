@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import sql
 
@@ -79,6 +80,29 @@ def op10_surrogate_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(table(spark, sf_dir, "documents"), QUERY_KEY)
 
 
+def op11_run_length_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repair import damaged, repair_report
+
+    return repair_report(damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_displacement_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .infill import fill_in_middle, restore
+
+    made = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = restore(made.withColumn("output_sha256", F.sha2("output", 256)))
+    return back.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256",
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_merged_transform_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .transforms import remove_repeated_bytes
+
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_divergence_rules": op1_divergence_rules,
     "op2_minimum_slack_packing": op2_minimum_slack_packing,
@@ -90,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fourier_ridge_quality": op8_fourier_ridge_quality,
     "op9_segment_tree_bpe": op9_segment_tree_bpe,
     "op10_surrogate_personal_data": op10_surrogate_personal_data,
+    "op11_run_length_repair": op11_run_length_repair,
+    "op12_displacement_infill": op12_displacement_infill,
+    "op13_merged_transform_repeats": op13_merged_transform_repeats,
 }
 # The others cannot be expressed in SQL; tests/llm holds them against brute-force versions.
 SQL: dict[str, str] = {
@@ -97,4 +124,7 @@ SQL: dict[str, str] = {
     "op4_chosen_path_near_duplicates": sql.NEAR_DUPLICATE_DOCUMENTS,
     "op5_suffix_tree_repeats": sql.REPEATED_PASSAGES,
     "op7_hyperplane_near_duplicates": sql.NEAR_DUPLICATE_VECTORS,
+    "op11_run_length_repair": sql.CONVERSATION_REPAIR,
+    "op12_displacement_infill": sql.FILL_IN_MIDDLE,
+    "op13_merged_transform_repeats": sql.REPEATED_BYTES,
 }

@@ -127,3 +127,127 @@ DIVERGENCE_RULES = f"""
                    OR n_words >= 100 AND coalesce(w.distance, 0) > 0.33)) AS kept
     FROM base LEFT JOIN totals t USING (lang) LEFT JOIN char_distance c USING (doc_id) LEFT JOIN word_distance w USING (doc_id)
 """
+
+_SPACE = r"\x20\x09-\x0D"
+
+FILL_IN_MIDDLE = f"""
+    WITH drawn AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS digest,
+               regexp_extract_all(coalesce(text, ''), '[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+') AS tokens FROM documents),
+    cut AS (
+        SELECT *, len(tokens)::BIGINT AS n,
+               ('0x' || substr(digest, 1, 8))::BIGINT % (len(tokens) + 1) AS one,
+               ('0x' || substr(digest, 9, 8))::BIGINT % (len(tokens) + 1) AS two,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                         OR ('0x' || substr(digest, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+                    WHEN ('0x' || substr(digest, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+    parts AS (
+        SELECT *, array_to_string(tokens[1:least(one, two)], '') AS prefix,
+               array_to_string(tokens[least(one, two) + 1:greatest(one, two)], '') AS middle,
+               array_to_string(tokens[greatest(one, two) + 1:], '') AS suffix FROM cut)
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parts
+"""
+
+# The checksum of zip files, byte by byte; keys are ASCII.
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)),"
+    " lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"
+)
+
+# States: nothing yet, s, u, a. ``best`` is the cost in eight digits and the edits so far.
+CONVERSATION_REPAIR = f"""
+    WITH RECURSIVE keyed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS mode
+        FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations)),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN mode = 4 THEN 'user' ELSE role END AS role,
+               CASE mode WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(range(CASE mode WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM keyed),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+               substr(role, 1, 1) AS initial FROM damaged),
+    faulty AS (
+        SELECT *, CASE WHEN NOT regexp_matches(text, '[^{_SPACE}]') THEN 'blank'
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                       WHEN regexp_extract(text, '([^{_SPACE}])[{_SPACE}]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated'
+                       ELSE 'none' END AS fault,
+               lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+    inserts(state, next, letters, cost) AS (
+        VALUES (0, 0, '', 0), (1, 1, '', 0), (2, 2, '', 0), (3, 3, '', 0), (0, 2, 'I', 2), (0, 3, 'II', 4),
+               (1, 2, 'I', 2), (1, 3, 'II', 4), (2, 3, 'I', 2), (3, 2, 'I', 2)),
+    follows(state, initial, next) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+    edits AS (
+        SELECT state, next, 'K' AS letters, 0 AS cost, initial FROM follows
+        UNION ALL SELECT state, next, 'R', 2, NULL FROM follows WHERE initial <> 's'
+        UNION ALL SELECT state, state, 'D', 3, NULL FROM range(4) s(state)),
+    steps AS (
+        SELECT conv_id, 0::BIGINT AS i, 0 AS state, '00000000' AS best FROM (SELECT DISTINCT conv_id FROM conversations)
+        UNION ALL
+        SELECT s.conv_id, s.i + 1, e.next,
+               min(lpad((substr(s.best, 1, 8)::BIGINT + n.cost + e.cost
+                         + CASE WHEN f.fault = 'truncated' AND e.letters <> 'D' THEN 1 ELSE 0 END)::VARCHAR, 8, '0')
+                   || substr(s.best, 9) || n.letters || e.letters)
+        FROM steps s JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i + 1
+             JOIN inserts n ON n.state = s.state
+             JOIN edits e ON e.state = n.next AND (e.initial IS NULL OR e.initial = f.initial)
+                         AND (e.letters = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+        GROUP BY s.conv_id, s.i, e.next),
+    solved AS (
+        SELECT conv_id, min(lpad((substr(best, 1, 8)::BIGINT + CASE state WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END)::VARCHAR, 8, '0')
+                            || substr(best, 9) || CASE state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END) AS best
+        FROM steps s WHERE i = (SELECT coalesce(max(f.i), 0) FROM faulty f WHERE f.conv_id IS NOT DISTINCT FROM s.conv_id)
+        GROUP BY conv_id),
+    letters AS (
+        SELECT conv_id, p, audit[p] AS letter,
+               count(*) FILTER (audit[p] <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i
+        FROM (SELECT conv_id, substr(best, 9) AS audit, unnest(range(1, length(best) - 7)) AS p FROM solved)),
+    replayed AS (
+        SELECT l.conv_id, l.p, l.letter, f.role, f.text,
+               count(*) FILTER (letter IN ('I', 'R') OR letter = 'K' AND f.initial <> 's')
+                   OVER (PARTITION BY l.conv_id ORDER BY l.p) AS n
+        FROM letters l LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i AND l.letter <> 'I'),
+    lines AS (
+        SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN n % 2 = 1 THEN 'user' ELSE 'assistant' END
+                                   || ':' || coalesce(text, ''), chr(10) ORDER BY p) AS text
+        FROM replayed WHERE letter <> 'D' GROUP BY conv_id),
+    counts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM faulty GROUP BY conv_id)
+    SELECT s.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+           substr(best, 1, 8)::BIGINT AS cost, substr(best, 9) AS audit, sha256(coalesce(l.text, '')) AS repaired_sha256
+    FROM solved s LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+         LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
+
+# Bytes as pairs of hex digits.
+REPEATED_BYTES = """
+    WITH texts AS (SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    windows AS (
+        SELECT row, p, md5(h[2 * p + 1:2 * p + 800]) AS content
+        FROM (SELECT row, h, unnest(range(0, len(h) // 2 - 399)) AS p FROM texts)),
+    again AS (SELECT content FROM windows GROUP BY content HAVING count(*) > 1),
+    starts AS (SELECT row, p, lag(p) OVER (PARTITION BY row ORDER BY p) AS before FROM windows JOIN again USING (content)),
+    runs AS (
+        SELECT row, p, sum(CASE WHEN before IS NULL OR p > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY row ORDER BY p) AS run
+        FROM starts),
+    spans AS (SELECT row, run, min(p) AS a, max(p) + 400 AS b FROM runs GROUP BY row, run),
+    pieces AS (
+        SELECT row, a, b, coalesce(lag(b) OVER (PARTITION BY row ORDER BY a), 0) AS previous FROM spans),
+    cut AS (
+        SELECT row, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+               string_agg(h[2 * previous + 1:2 * a], '' ORDER BY a) AS head
+        FROM pieces JOIN texts USING (row) GROUP BY row)
+    SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(head || h[2 * last + 1:], h))) AS kept_sha256
+    FROM texts LEFT JOIN cut USING (row)
+"""

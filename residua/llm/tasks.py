@@ -20,17 +20,17 @@ def columns_as(df: DataFrame, **named: tuple[str, str]) -> DataFrame:
 
 
 def map_arrow(
-    df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], Iterable[dict]]
+    df: DataFrame, schema: str | StructType, each: Callable[[pa.RecordBatch], Iterable[dict]]
 ) -> DataFrame:
     """Applies ``each`` to every record batch; it yields columns by name."""
     return map_arrow_partition(df, schema, lambda batches: (out for b in batches for out in each(b)))
 
 
 def map_arrow_partition(
-    df: DataFrame, schema: str, whole: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]]
+    df: DataFrame, schema: str | StructType, whole: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]]
 ) -> DataFrame:
     """Like ``map_arrow`` for a function over all batches of a partition."""
-    fields: StructType = _parse_datatype_string(schema)
+    fields: StructType = _parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -229,25 +229,23 @@ CONVERSATION_REPAIR = f"""
          LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM s.conv_id
 """
 
-# Bytes as pairs of hex digits.
 REPEATED_BYTES = """
-    WITH texts AS (SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    WITH texts AS (SELECT doc_id, row_number() OVER () AS row, encode(coalesce(text, '')) AS b FROM documents),
     windows AS (
-        SELECT row, p, md5(h[2 * p + 1:2 * p + 800]) AS content
-        FROM (SELECT row, h, unnest(range(0, len(h) // 2 - 399)) AS p FROM texts)),
+        SELECT row, p, md5(b[p + 1:p + 400]) AS content
+        FROM (SELECT row, b, unnest(range(0, octet_length(b) - 399)) AS p FROM texts)),
     again AS (SELECT content FROM windows GROUP BY content HAVING count(*) > 1),
     starts AS (SELECT row, p, lag(p) OVER (PARTITION BY row ORDER BY p) AS before FROM windows JOIN again USING (content)),
     runs AS (
         SELECT row, p, sum(CASE WHEN before IS NULL OR p > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY row ORDER BY p) AS run
         FROM starts),
-    spans AS (SELECT row, run, min(p) AS a, max(p) + 400 AS b FROM runs GROUP BY row, run),
-    pieces AS (
-        SELECT row, a, b, coalesce(lag(b) OVER (PARTITION BY row ORDER BY a), 0) AS previous FROM spans),
+    spans AS (SELECT row, run, min(p) AS start, max(p) + 400 AS stop FROM runs GROUP BY row, run),
+    pieces AS (SELECT *, coalesce(lag(stop) OVER (PARTITION BY row ORDER BY start), 0) AS previous FROM spans),
     cut AS (
-        SELECT row, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
-               string_agg(h[2 * previous + 1:2 * a], '' ORDER BY a) AS head
+        SELECT row, count(*) AS n_spans, sum(stop - start) AS n_removed, max(stop) AS last,
+               string_agg(hex(b[previous + 1:start]), '' ORDER BY start) AS head
         FROM pieces JOIN texts USING (row) GROUP BY row)
-    SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
-           sha256(unhex(coalesce(head || h[2 * last + 1:], h))) AS kept_sha256
+    SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(coalesce(unhex(head || hex(b[last + 1:])), b)) AS kept_sha256
     FROM texts LEFT JOIN cut USING (row)
 """

@@ -51,7 +51,7 @@ class Settings:
     gram: int = 32
     # Different contents of one anchor that are merged in one task; windows are counted beyond it.
     group: int = 4000
-    # Bytes of a shard, and of the shards that are merged at a time; a group is never cut.
+    # Symbols of a shard, and bytes of spans that are merged at a time; a group is never cut.
     shard: int = 1 << 18
     run: int = 1 << 21
 
@@ -208,33 +208,29 @@ class Transform:
     n_ends: int
 
 
-def transform(symbols: np.ndarray, step: int, depth: int) -> Transform:
-    """The transform of a shard; ``symbols`` holds -1 where no symbol fits into the span any more.
+def transform(symbols: np.ndarray, depth: int) -> Transform:
+    """The transform of a shard, whose strings of symbols stand one behind another.
 
-    The symbol behind place ``i`` is at ``i + step``, and every span ends with ``step`` times -1.
-    Ranks for 1, 2, 4 and so on symbols come from those for half as many.
+    Each string ends with -1. Ranks for 1, 2, 4 and so on symbols come from those for half as many.
     """
     ends = symbols < 0
     n_ends = int(ends.sum())
-    rank = np.where(ends, np.cumsum(ends) - 1, symbols.astype(np.int64) + n_ends)
+    rank = np.where(ends, np.cumsum(ends) - 1, symbols + n_ends)
     reach = 1
     while reach < depth:
         more = min(reach, depth - reach)
         behind = np.zeros(len(rank), np.int64)
-        far = more * step
-        if far < len(rank):
-            behind[:-far] = rank[far:]
+        behind[:-more] = rank[more:]
         # A suffix that has ended before is told apart by its end already.
         pair = np.where(ends, 0, rank) << 32 | behind
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         new = np.ones(len(order), np.int64)
         new[1:] = pair[order][1:] != pair[order][:-1]
         after = np.empty(len(order), np.int64)
         after[order] = np.cumsum(new) - 1
         rank, reach = np.where(ends, rank, after + n_ends), reach + more
-    order = np.argsort(rank, kind="stable")
-    before = np.full(len(symbols), -1, np.int64)
-    before[step:] = symbols[:-step]
+    order = np.argsort(rank)
+    before = np.append(-1, symbols[:-1])
     return Transform(order, before[order], n_ends)
 
 
@@ -270,28 +266,56 @@ def merge(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return np.argsort(owner, kind="stable"), common
 
 
-def repeated_windows(data: list[bytes], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Which windows of the spans occur more than once among them: span and first byte."""
-    step, depth = settings.symbol, settings.window // settings.symbol
+def _strings(data: list[bytes], step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The symbols of all spans, string by string, their span and first byte, and how often each occurs.
+
+    A string takes every ``step``-th place of a span, so that its symbols stand side by side,
+    and ends with -1, where no symbol fits any more.
+    """
     size = np.array([len(x) for x in data])
-    # One place more than bytes, so that each span has ``step`` empty suffixes.
     base = np.cumsum(size + 1) - size - 1
     flat = np.frombuffer(b"".join(x + b"\0" for x in data), np.uint8)
     span = np.repeat(np.arange(len(data)), size + 1)
     local = np.arange(len(flat)) - base[span]
+    each, rest = np.divmod(size + 1, step)
+    row, column = np.divmod(local, step)
+    place = base[span] + column * each[span] + np.minimum(column, rest[span]) + row
     fits = np.flatnonzero(local + step <= size[span])
-    symbols = np.full(len(flat), -1, np.int64)
-    symbols[fits] = np.unique(hash_windows(flat.astype(U64) + U64(1), step)[fits], return_inverse=True)[1]
-    cuts = np.flatnonzero(np.diff((base + size) // settings.shard, prepend=-1))
-    edges = [*base[cuts].tolist(), len(flat)]
-    edges[0] = 0
-    shards = [transform(symbols[a:b], step, depth) for a, b in zip(edges[:-1], edges[1:])]
+    values, times = np.unique(hash_windows(flat.astype(U64) + U64(1), step)[fits], return_inverse=True, return_counts=True)[1:]
+    symbols, counts = np.full(len(flat), -1, np.int64), np.zeros(len(flat), np.int64)
+    symbols[place[fits]], counts[place[fits]] = values, times[values]
+    ordered_span, ordered_local = np.empty_like(span), np.empty_like(local)
+    ordered_span[place], ordered_local[place] = span, local
+    return symbols, ordered_span, ordered_local, counts
+
+
+def repeated_windows(data: list[bytes], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows of the spans occur more than once among them: span and first byte."""
+    depth = settings.window // settings.symbol
+    symbols, span, local, counts = _strings(data, settings.symbol)
+    # A symbol that occurs once is in no window that repeats: strings are cut there.
+    edge = np.diff(np.concatenate([[0], (counts > 1).astype(np.int8), [0]]))
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    long = end - begin >= depth
+    inside = np.zeros(len(symbols) + 1, np.int8)
+    inside[begin[long]], inside[end[long]] = 1, -1
+    stays = np.cumsum(inside[:-1]) > 0
+    stays[end[long]] = True
+    symbols[end[long]] = -1
+    symbols, span, local = symbols[stays], span[stays], local[stays]
+    empty = np.zeros(0, np.int64)
+    if not len(symbols):
+        return empty, empty
+    ends = np.flatnonzero(symbols < 0) + 1
+    edges = [0, *ends[np.flatnonzero(np.diff(ends // settings.shard, append=-1))].tolist()]
+    shards = [transform(symbols[a:b], depth) for a, b in zip(edges[:-1], edges[1:])]
     place, common = merge(shards, depth)
     # Intervals of suffixes that share all symbols of a window with a neighbour.
     whole = common >= depth
     inside = whole | np.append(whole[1:], False)
     suffix = np.concatenate([t.suffix + a for t, a in zip(shards, edges)])
-    found = np.sort(suffix[inside[place]])
+    found = suffix[inside[place]]
+    found = found[np.lexsort((local[found], span[found]))]
     return span[found], local[found]
 
 

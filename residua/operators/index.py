@@ -1,9 +1,10 @@
 """The file index map: which global row numbers each shard holds."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.workspace import stored
+from ..sources.tables import list_shards, read_files
 
 
 def rows_per_file(shards: DataFrame, file_col: str = "file_name") -> DataFrame:
@@ -36,6 +37,32 @@ def index_map(shards: DataFrame, file_col: str = "file_name") -> DataFrame:
     )
 
 
+def extended_index_map(spark: SparkSession, known: DataFrame, path: str) -> DataFrame:
+    """``known`` and the files below ``path`` that it lacks, numbered behind it in name order.
+
+    The folder is listed, and the listing is held against the map; only files that are new are
+    opened, and of them the footers alone. Numbers that were given stay as they are, so the map
+    equals a full one where new names sort behind the old ones, as dated folders do. Files of
+    the map that are gone are an error. The driver holds the new names, as it holds a listing.
+    """
+    listed = list_shards(spark, path)
+    gone = known.join(listed, "file_name", "left_anti").select("file_name").limit(1).collect()
+    if gone:
+        raise ValueError(f"a file of the map is gone: {gone[0].file_name}")
+    new = [row.path for row in listed.join(known, "file_name", "left_anti").select("path").collect()]
+    if not new:
+        return known.select(*_MAP)
+    counted = index_map(read_files(spark, path, new))
+    before = known.agg(F.coalesce(F.max("end_line") + 1, F.lit(0)).alias("_before"))
+    moved = counted.join(before).select(
+        "file_name", "num_sequences", *[(F.col(c) + F.col("_before")).alias(c) for c in ("start_line", "end_line")]
+    )
+    return known.select(*_MAP).unionAll(moved)
+
+
+_MAP = ("file_name", "num_sequences", "start_line", "end_line")
+
+
 def with_line_num_names(index: DataFrame) -> DataFrame:
     """The same map under the names ``start_line_num`` and ``end_line_num``."""
     return index.withColumnsRenamed(

@@ -34,3 +34,19 @@ def write_bucketed_items(
         .option("path", path)
         .saveAsTable(table)
     )
+
+
+# Keys of one pruned read; they are literals of the plan.
+MOST_KEYS = 10_000
+
+
+def items_of_keys(items: DataFrame, keys: DataFrame, key: str = "sequence_id", most: int = MOST_KEYS) -> DataFrame:
+    """The stored items of a few keys; of a bucketed table only the buckets of those keys are read.
+
+    The distinct keys go into the plan, where Spark prunes the buckets by them. More than ``most``
+    are an error: join them with ``lookup_keys``, which leaves the items where they lie.
+    """
+    found = keys.select(F.col(key).cast("bigint").alias(key)).where(F.col(key).isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} keys; use lookup_keys")
+    return items.where(F.col(key).isin([row[0] for row in found]))

@@ -1,9 +1,9 @@
 """Which rank reads which row in which batch of an epoch."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import HASH_BITS, hash_key, seeded_hash
+from ..functions.hashing import HASH_BITS, hash_key, seeded_hash, with_bijection
 
 # 2**16 hash buckets: the offsets are at most that many rows however big the data.
 # Past about 10**9 rows take more bits; 2**20 rows are the most that are broadcast.
@@ -87,6 +87,35 @@ def epoch_assignment(
         placed = permutation(df, id_col, seed, epoch, bucket_bits)
     else:
         placed = _by_id(df, id_col)
+    return _dealt(placed, world_size, batch_size)
+
+
+def bijective_assignment(
+    df: DataFrame,
+    world_size: int,
+    batch_size: int,
+    seed: int = 0,
+    epoch: int = 0,
+    id_col: str = "global_idx",
+    rows: int | Column | None = None,
+) -> DataFrame:
+    """The columns of ``epoch_assignment`` without a shuffle, for rows numbered from 0.
+
+    ``id_col`` is dense and unique from 0, like ``global_idx``; its place is a keyed bijection
+    of ``[0, rows)``, so position, rank and batch are projections. ``rows`` is counted where it
+    is not given (the index map has it); a number beyond it fails the job. The order differs
+    from that of ``epoch_assignment``.
+    """
+    if rows is None:
+        rows = df.agg(F.count("*").alias("rows")).scalar()
+    n = rows if isinstance(rows, Column) else F.lit(rows)
+    number = df.withColumn("_number", F.col(id_col).cast("bigint")).withColumn("_rows", n.cast("bigint"))
+    placed = with_bijection(number, "_number", F.col("_rows"), seed, epoch, "pos").drop("_number")
+    return _dealt(placed, world_size, batch_size)
+
+
+def _dealt(placed: DataFrame, world_size: int, batch_size: int) -> DataFrame:
+    """From ``pos`` of ``_rows`` to rank and batch; the first rows are repeated at the end."""
     rounds = F.ceil(F.col("_rows") / world_size)
     positions = F.sequence(F.col("pos"), rounds * world_size - 1, F.col("_rows"))
     return (

@@ -1,8 +1,9 @@
 """Reproducible train/test split and the shard writers."""
 
+from contextlib import contextmanager
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HASH_BITS, hash_key, seeded_hash
@@ -83,6 +84,62 @@ def write_shards(
     writer.parquet(path)
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def write_shards_of_size(
+    df: DataFrame,
+    path: str,
+    target_bytes: int,
+    shuffle_ratio: float = 1.0,
+    keys=(),
+    by_split: bool = False,
+    mode: str = "errorifexists",
+) -> None:
+    """Parquet shards of about ``target_bytes`` each, without a pass that counts rows.
+
+    Adaptive execution knows the bytes of every partition once they are shuffled: it merges
+    small ones and splits large ones, also those of a hot key, up to an advisory size.
+    ``shuffle_ratio`` is how many shuffled bytes make a byte of file, as ``measured_ratio`` of
+    an earlier write tells; ``keys`` bring rows together. While this runs, the session's
+    settings for that shuffle are set, so other writes should not start in the same session.
+    """
+    spark = df.sparkSession
+    advisory = max(1, round(target_bytes * shuffle_ratio))
+    settings = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(max(1, advisory // 2)),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+    }
+    with _settings(spark, settings):
+        write_shards(df.hint("rebalance", *keys), path, by_split=by_split, mode=mode)
+
+
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """``file_name, bytes`` of the Parquet files below ``path``, from a listing."""
+    options = {"pathGlobFilter": "*.parquet", "recursiveFileLookup": True}
+    files = spark.read.format("binaryFile").options(**options).load(path)
+    return files.select(F.col("path").alias("file_name"), F.col("length").alias("bytes"))
+
+
+def measured_ratio(spark: SparkSession, path: str, target_bytes: int, shuffle_ratio: float = 1.0) -> float:
+    """The ratio that would have met the target, from the median file of an earlier write."""
+    typical = file_sizes(spark, path).agg(F.median("bytes").alias("m")).first().m
+    return shuffle_ratio * target_bytes / typical if typical else shuffle_ratio
+
+
 def write_sequences_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     df.select("sequence", "sequence_id").write.mode(mode).options(**options).csv(path)

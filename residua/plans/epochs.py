@@ -1,12 +1,12 @@
 """Training-ready epochs: shuffled, assigned to ranks, masked and laid out by rank."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tokens import mask_of_length, real_length
 from ..functions.vocabulary import ESM2, Vocabulary
 from ..operators.masking import mask_tokens
-from ..operators.sampler import epoch_assignment
+from ..operators.sampler import bijective_assignment, epoch_assignment
 
 
 def epoch_samples(
@@ -21,9 +21,15 @@ def epoch_samples(
     batches_per_file: int | None = None,
     tasks: int | None = None,
     shuffle: bool = True,
+    order: str = "hash",
+    rows: int | Column | None = None,
 ) -> DataFrame:
     """Every sample of the epoch with rank, batch, corrupted ids, mask and labels.
 
+    ``order`` is how rows are shuffled: ``hash`` for any unique id, ``bijection`` for rows
+    numbered from 0 (``rows`` of them), which gets by without a shuffle of its own: only the
+    layout moves the token arrays.
+
     Only the id, the token ids and the real length go through the shuffles; the attention
     mask, as long as the ids, follows from the length, and masking runs on the far side. With
     ``tasks`` the rows are dealt by (rank, run of ``batches_per_file`` batches) before that,
@@ -31,7 +37,12 @@ def epoch_samples(
     """
     length = real_length(F.col("attention_mask")).alias("_length")
     narrow = samples.select(id_col, "input_ids", length)
-    placed = epoch_assignment(narrow, world_size, batch_size, seed, epoch, shuffle, id_col=id_col)
+    if order == "bijection":
+        placed = bijective_assignment(narrow, world_size, batch_size, seed, epoch, id_col, rows)
+    elif order == "hash":
+        placed = epoch_assignment(narrow, world_size, batch_size, seed, epoch, shuffle, id_col=id_col)
+    else:
+        raise ValueError(f"order must be 'hash' or 'bijection', got {order!r}")
     if tasks:
         run = F.floor(F.col("batch") / batches_per_file)
         placed = placed.repartition(tasks, "rank", run).sortWithinPartitions("rank", "batch", "rank_pos")

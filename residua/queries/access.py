@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import lookup
+from ..operators import keyed, lookup, numbered
 from .registry import Registry, file_no, joined
 from .standins import MAX_LENGTH, ROWS_PER_FILE_SQL, TOKENISED_SQL, Tables, text
 
@@ -85,6 +85,40 @@ def global_index(t: Tables):
     return numbered.select("doc_id", "global_idx")
 
 
+def pruned_lookup(t: Tables):
+    """One request per supplier: few positions, so few blocks are opened."""
+    requests = t("supplier").select("s_name", F.col("s_suppkey").cast("bigint").alias("idx"))
+    size = numbered.rows_per_block_of(t.spark, t.numbered_path)
+    found = numbered.lookup_numbered(requests, t.numbered, size)
+    return found.select("s_name", "idx", "doc_id", joined("input_ids"), joined("attention_mask"))
+
+
+def pruned_line_positions(t: Tables):
+    """One request per order line: most blocks are wanted, some positions are out of range."""
+    size = numbered.rows_per_block_of(t.spark, t.numbered_path)
+    return _result(numbered.lookup_numbered(positions(t), t.numbered.drop("sequence_id"), size))
+
+
+def stored_offsets(t: Tables):
+    """Global numbers from the directories of the shards alone."""
+    return numbered.read_numbered(t.spark, t.numbered_path, ["doc_id"]).select("doc_id", "global_idx")
+
+
+def bucketed_lookup(t: Tables):
+    """The items stay in their buckets; the requests come to them."""
+    found = lookup.lookup_keys(key_requests(t), lookup.integer_items(t.bucketed_items))
+    return found.select(
+        "l_orderkey", "l_linenumber", "sequence_id", joined("input_ids"), joined("attention_mask")
+    )
+
+
+def few_keys(t: Tables):
+    """Items of the keys that nations ask for; only their buckets are read."""
+    keys = t("nation").select(F.col("n_nationkey").alias("sequence_id"))
+    items = lookup.integer_items(keyed.items_of_keys(t.bucketed_items, keys))
+    return items.select("sequence_id", joined("input_ids"), joined("attention_mask"))
+
+
 def register(r: Registry) -> None:
     samples = f"(SELECT doc_id, {text('input_ids')}, {text('attention_mask')} FROM ({TOKENISED_SQL}))"
     found = f"""
@@ -118,3 +152,14 @@ def register(r: Registry) -> None:
                (list_sum(framed) + {MAX_LENGTH} - len(framed))::INTEGER AS id_sum
         FROM ({TOKENISED_SQL})""")
     r.add("join3_global_index", global_index, "SELECT doc_id, doc_id AS global_idx FROM documents")
+    r.add("join1_positions_pruned", pruned_lookup, f"""
+        SELECT s_name, s_suppkey::BIGINT AS idx, doc_id, input_ids, attention_mask
+        FROM supplier LEFT JOIN {samples} ON doc_id = s_suppkey""")
+    r.add("join1_positions_blocks", pruned_line_positions, found)
+    r.add("join3_stored_offsets", stored_offsets, "SELECT doc_id, doc_id AS global_idx FROM documents")
+    r.add("join2_bucketed_items", bucketed_lookup, f"""
+        SELECT l_orderkey, l_linenumber, l_partkey AS sequence_id, input_ids, attention_mask
+        FROM lineitem LEFT JOIN {samples} ON doc_id = l_partkey""")
+    r.add("fil5_bucketed_keys", few_keys, f"""
+        SELECT DISTINCT n_nationkey::BIGINT AS sequence_id, input_ids, attention_mask
+        FROM nation JOIN {samples} ON doc_id = n_nationkey""")

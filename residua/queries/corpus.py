@@ -119,6 +119,26 @@ def round_robin_files(t: Tables):
     return _file_sizes(t, path)
 
 
+def target_bytes(t: Tables):
+    """Files of half to twice a target size, from rows in any order and by three hot keys."""
+    rows = t.spread("lineitem")
+    out = None
+    for name, keys in (("even", []), ("hot", ["l_returnflag"])):
+        trial = new_path(t.spark, "trial-bytes")
+        split.write_shards(rows, trial)
+        target = split.file_sizes(t.spark, trial).agg(F.sum("bytes")).first()[0] // 6
+        ratio = 1.0
+        for _ in range(2):
+            path = new_path(t.spark, "target-bytes")
+            split.write_shards_of_size(rows, path, target, ratio, keys)
+            ratio = split.measured_ratio(t.spark, path, target, ratio)
+        within = F.col("bytes").between(target / 2, target * 2)
+        sizes = split.file_sizes(t.spark, path).agg(F.every(within).alias("within"), (F.count("*") >= 3).alias("several"))
+        here = t.spark.read.parquet(path).agg(F.count("*").alias("rows")).join(sizes).select(F.lit(name).alias("kind"), "rows", "within", "several")
+        out = here if out is None else out.unionAll(here)
+    return out
+
+
 def bounded_files(t: Tables):
     """No file above the cap, no shuffle."""
     path = new_path(t.spark, "bounded")
@@ -190,6 +210,9 @@ def register(r: Registry) -> None:
         SELECT event_id, (value / 997)::FLOAT::DOUBLE AS loss FROM events""")
     r.add("par1_round_robin_files", round_robin_files, f"""
         SELECT {FILES}::BIGINT AS files, count(*) AS rows FROM documents""")
+    r.add("par1_target_bytes", target_bytes, """
+        SELECT kind, count(*) AS rows, true AS within, true AS several
+        FROM lineitem, (VALUES ('even'), ('hot')) k(kind) GROUP BY kind""")
     r.add("par1_bounded_files", bounded_files, """
         SELECT count(*) AS rows, true AS within_cap FROM documents""")
     r.add("snk1_sequences_csv", csv_scan, sequences)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import index
 from ..operators.lookup import with_global_index
 from ..operators.split import hash_split, write_shards
-from ..plans.workspace import new_path
+from ..plans.workspace import new_path, stored
 from ..sources import index_file_path, read_index_map, read_index_map_folder, read_shard, read_shards
 from .registry import Registry, file_no, joined
 from .standins import INDEX_MAP_SQL, ROWS_PER_FILE_SQL, TOKENISED_SQL, Tables, text
@@ -164,6 +164,25 @@ MONTHS_SQL = """
                 FROM lineitem GROUP BY 1))"""
 
 
+def incremental_map(t: Tables):
+    """A folder that gets a second batch of files: only those are counted."""
+    path = new_path(t.spark, "growing-shards")
+    size = t("documents").agg(F.floor(F.sqrt(F.count("*"))).alias("n")).first().n
+    rows = t("documents").select("doc_id", (F.col("doc_id") >= F.floor(F.lit(size * size / 2))).cast("int").alias("late"))
+    known = None
+    for late in (0, 1):
+        part = rows.where(F.col("late") == late).drop("late")
+        write_shards(part.repartitionByRange(int(size) // 2 + 1, "doc_id"), f"{path}/batch={late}")
+        if known is None:
+            known = stored(t.spark, index.index_map(read_shards(t.spark, path, [])), "known-map")
+        else:
+            known = index.extended_index_map(t.spark, known, path)
+    batch = F.regexp_extract("file_name", r"^batch=(\d)/", 1).cast("bigint").alias("batch")
+    return known.groupBy(batch).agg(
+        F.sum("num_sequences").alias("num_sequences"), F.min("start_line").alias("start_line"), F.max("end_line").alias("end_line"),
+    )
+
+
 def register(r: Registry) -> None:
     lines = f"SELECT file_no, num_sequences, start_line, end_line FROM ({INDEX_MAP_SQL})"
     months = f"SELECT file_name, num_sequences, start_line, end_line FROM ({MONTHS_SQL})"
@@ -176,6 +195,11 @@ def register(r: Registry) -> None:
     r.add("src5_directory_listing", listing, f"""
         SELECT file_no, num_sequences, start_line AS start_line_num, end_line AS end_line_num
         FROM ({INDEX_MAP_SQL})""")
+    r.add("src5_incremental_map", incremental_map, """
+        SELECT late AS batch, count(*) AS num_sequences, (sum(count(*)) OVER (ORDER BY late) - count(*))::BIGINT AS start_line,
+               (sum(count(*)) OVER (ORDER BY late) - 1)::BIGINT AS end_line
+        FROM (SELECT (doc_id >= floor(floor(sqrt(n)) * floor(sqrt(n)) / 2))::BIGINT AS late
+              FROM documents, (SELECT count(*) AS n FROM documents)) GROUP BY late""")
     r.add("src6_index_map_csv", index_csv_scan, lines)
     r.add("src7_index_map_folder", index_folder, lines)
     r.add("src7_index_map_parts", index_parts, lines)

@@ -6,7 +6,7 @@ from ..functions import metrics
 from ..operators import reports, runplan
 from ..plans.workspace import new_path
 from ..sources import read_log
-from ..streaming import follow_rolled_metrics
+from ..streaming import follow_growing_metrics, follow_rolled_metrics
 from .registry import Registry
 from .standins import ACCUMULATION, BATCH_LOSSES_SQL, MAX_LENGTH, RANKS, Tables
 
@@ -173,6 +173,15 @@ def followed_log(t: Tables):
     return t.spark.read.parquet(table)
 
 
+def appended_log(t: Tables):
+    """A log that grows between two runs of the stream, which goes on where it stopped."""
+    log, table, checkpoint = (new_path(t.spark, n) for n in ("growing", "growing-table", "growing-state"))
+    for lines in (t.training_lines, t.eval_lines):
+        reports.write_log(lines, log, mode="append")
+        follow_growing_metrics(t.spark, log, table, checkpoint, files="*.txt").awaitTermination()
+    return t.spark.read.parquet(table)
+
+
 def written_log(t: Tables):
     path = new_path(t.spark, "snk5")
     reports.write_log(t.training_lines, path)
@@ -382,4 +391,5 @@ def register(r: Registry) -> None:
         SELECT epoch, step, metric, value FROM (
             UNPIVOT ({parsed}) ON {", ".join(measured)} INTO NAME metric VALUE value)""")
     r.add("stream_parse_log", followed_log, parsed)
+    r.add("stream_appended_log", appended_log, parsed)
     r.add("snk5_written_log", written_log, TRAINING_LINES_SQL)

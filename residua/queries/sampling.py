@@ -5,6 +5,7 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 from ..functions import masking
+from ..functions.hashing import ROUNDS
 from ..functions.vocabulary import ESM2
 from ..operators import sampler
 from ..operators.masking import mask_tokens
@@ -75,6 +76,32 @@ def ids_from_one(t: Tables):
     return rows.select("member", "pos", "rank", "batch")
 
 
+def bijective(t: Tables):
+    """Rank and batch of every document by projections alone."""
+    rows = sampler.bijective_assignment(ids(t), WORLD, BATCH, SEED, EPOCH, "doc_id")
+    return rows.select("doc_id", "pos", "rank", "rank_pos", "batch")
+
+
+def bijective_customers(t: Tables):
+    """1,500 rows a step at 7 ranks; the row count comes from the index map's kind of table."""
+    rows = t("customer").agg(F.max("c_custkey") + 1).scalar()
+    placed = sampler.bijective_assignment(t("customer").select("c_custkey"), 7, 3, SEED, EPOCH, "c_custkey", rows)
+    return placed.select("c_custkey", "pos", "rank", "rank_pos", "batch")
+
+
+def bijective_layout(t: Tables):
+    """An epoch from numbered shards: the layout's exchange is the only one of token arrays."""
+    path = new_path(t.spark, "epoch")
+    rows = epochs.epoch_samples(
+        t.numbered, WORLD, BATCH, SEED, EPOCH, batches_per_file=10, tasks=4, order="bijection"
+    )
+    epochs.write_epoch(rows, path, EPOCH)
+    return t.spark.read.parquet(path).select(
+        F.col("global_idx").alias("doc_id"), "epoch", "rank", "batch",
+        joined("input_ids"), joined("attention_mask"), joined("labels"),
+    )
+
+
 def epoch_layout(t: Tables):
     """A written epoch, read back."""
     path = new_path(t.spark, "epoch")
@@ -136,6 +163,23 @@ def register(r: Registry) -> None:
             FROM (SELECT {key}, unnest(range(pos, {total}, {n})) AS p
                   FROM ({positions(table, key, seed)}))"""
 
+    def bijection_sql(table: str, key: str, world: int) -> str:
+        """Every row at pos, pos + n, …; places beyond n are sent on until they fall inside."""
+        turned = "SELECT id, n, a, b, x // b AS r, x % b AS c FROM walk WHERE step = 0 OR x >= n"
+        for i in range(ROUNDS):
+            turned = f"SELECT id, n, a, b, c, (r + ({hash_longs(str(SEED), str(EPOCH), str(2 * i), 'c')} // 16)::BIGINT % a) % a AS r FROM ({turned})"
+            turned = f"SELECT id, n, a, b, r, (c + ({hash_longs(str(SEED), str(EPOCH), str(2 * i + 1), 'r')} // 16)::BIGINT % b) % b AS c FROM ({turned})"
+        return f"""
+            SELECT id AS {key}, p::BIGINT AS pos, (p % {world})::INTEGER AS rank, (p // {world})::BIGINT AS rank_pos
+            FROM (WITH RECURSIVE grid AS (
+                      SELECT n, a, (n + a - 1) // a AS b
+                      FROM (SELECT count(*) AS n, ceil(sqrt(count(*)))::BIGINT AS a FROM {table})),
+                  walk AS (
+                      SELECT {key}::BIGINT AS id, n, a, b, {key}::BIGINT AS x, 0 AS step FROM {table}, grid
+                      UNION ALL SELECT id, n, a, b, r * b + c, 1 FROM ({turned}))
+                  SELECT id, unnest(range(x, (n + {world - 1}) // {world} * {world}, n)) AS p
+                  FROM walk WHERE step = 1 AND x < n)"""
+
     documents = handed_out("documents", "doc_id", SEED + EPOCH, WORLD)
     r.add("sam1_permutation", permuted, f"""
         SELECT l_orderkey, lines, pos FROM ({positions(
@@ -168,6 +212,12 @@ def register(r: Registry) -> None:
     r.add("sam6_evaluation_order", evaluation, f"""
         SELECT doc_id, pos, rank, rank_pos // {BATCH} AS batch
         FROM ({handed_out("documents", "doc_id", SEED, WORLD)})""")
+    r.add("sam1_bijection", bijective, f"""
+        SELECT doc_id, pos, rank, rank_pos, rank_pos // {BATCH} AS batch
+        FROM ({bijection_sql("documents", "doc_id", WORLD)})""")
+    r.add("sam1_bijection_customers", bijective_customers, f"""
+        SELECT c_custkey, pos, rank, rank_pos, rank_pos // 3 AS batch
+        FROM ({bijection_sql("customer", "c_custkey", 7)})""")
     r.add("agg8_batches_per_rank", batches_per_rank, f"""
         SELECT rank, count(DISTINCT rank_pos // {BATCH}) AS num_batches
         FROM ({documents}) GROUP BY rank""")
@@ -197,13 +247,17 @@ def register(r: Registry) -> None:
                      THEN (draws[i + 1] // 256::UHUGEINT % 33::UHUGEINT)::INTEGER
                  ELSE input_ids[i + 1] END) AS input_ids
         FROM ({label_sql})"""
-    r.add("sam7_epoch_layout", epoch_layout, f"""
-        SELECT d.doc_id, {EPOCH}::INTEGER AS epoch, d.rank, d.rank_pos // {BATCH} AS batch,
-               array_to_string(i.input_ids, ' ') AS input_ids,
-               array_to_string(m.attention_mask, ' ') AS attention_mask,
-               array_to_string(l.labels, ' ') AS labels
-        FROM ({documents}) d JOIN ({input_sql}) i USING (doc_id) JOIN ({label_sql}) l USING (doc_id)
-        JOIN ({TOKENISED_SQL}) m USING (doc_id)""")
+    def layout_sql(placed: str) -> str:
+        return f"""
+            SELECT d.doc_id, {EPOCH}::INTEGER AS epoch, d.rank, d.rank_pos // {BATCH} AS batch,
+                   array_to_string(i.input_ids, ' ') AS input_ids,
+                   array_to_string(m.attention_mask, ' ') AS attention_mask,
+                   array_to_string(l.labels, ' ') AS labels
+            FROM ({placed}) d JOIN ({input_sql}) i USING (doc_id) JOIN ({label_sql}) l USING (doc_id)
+            JOIN ({TOKENISED_SQL}) m USING (doc_id)"""
+
+    r.add("sam7_epoch_layout", epoch_layout, layout_sql(documents))
+    r.add("sam7_bijective_layout", bijective_layout, layout_sql(bijection_sql("documents", "doc_id", WORLD)))
     r.add("mlm1_chosen_positions", chosen_positions, f"""
         SELECT doc_id, position FROM (
             SELECT doc_id, unnest(range({MAX_LENGTH}))::INTEGER AS position,

@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import index, keyed, reports, split
+from ..operators import index, keyed, numbered, reports, split
 from ..operators.tokenize import tokenize
 from ..plans.sizing import spread_if_narrow
 from ..plans.workspace import new_path
@@ -20,10 +20,15 @@ MAX_LENGTH = 142
 WRAP = 60
 RANKS = 5
 ACCUMULATION = 7
+BUCKETS = 16
 
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
+def table_name(path: str) -> str:
+    return "residua_" + path.rsplit("/", 1)[1].replace("-", "_")
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
@@ -115,6 +120,28 @@ class Tables:
     def items(self) -> DataFrame:
         return read_items(self.spark, self.items_path)
 
+    @property
+    def bucketed_items(self) -> DataFrame:
+        """The items as a table bucketed by key; it is named after its folder."""
+        def write(path: str) -> None:
+            items = keyed.as_items(self.tokenised, "doc_id")
+            keyed.write_bucketed_items(items, table_name(path), path, BUCKETS)
+
+        return self.spark.table(table_name(self.staged("bucketed-items", write)))
+
+    def _numbered(self, path: str) -> None:
+        rows = self("documents").agg(F.ceil(F.sqrt(F.count("*")))).first()[0]
+        samples = self.tokenised.withColumn("global_idx", F.col("doc_id"))
+        numbered.write_numbered(samples, path, rows)
+
+    @property
+    def numbered_path(self) -> str:
+        return self.staged("numbered", self._numbered)
+
+    @property
+    def numbered(self) -> DataFrame:
+        return numbered.read_numbered(self.spark, self.numbered_path)
+
     @cached_property
     def batch_losses(self) -> DataFrame:
         """The prime in the losses keeps their means off the ties of decimal rounding."""

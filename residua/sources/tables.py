@@ -20,7 +20,8 @@ def read_sequences_csv(spark: SparkSession, path, null_as_empty: bool = True) ->
 
 def _below(root: str, path: Column) -> Column:
     """A file's path below the root; the whole path where the root is a pattern."""
-    folder = quote(urlparse(root).path, safe="/=:@!$&'()*+,;~").rstrip("/")
+    # File metadata spell letters beyond ASCII as they are.
+    folder = "".join(c if ord(c) > 127 else quote(c, safe="/=:@!$&'()*+,;~") for c in urlparse(root).path).rstrip("/")
     return F.substring_index(path, f"{folder}/", -1)
 
 
@@ -38,6 +39,21 @@ def read_shards(spark: SparkSession, path: str, columns=None) -> DataFrame:
     )
 
 
+def list_shards(spark: SparkSession, path: str) -> DataFrame:
+    """``file_name, path`` of the Parquet files below ``path``; none of them is opened."""
+    options = {"pathGlobFilter": "*.parquet", "recursiveFileLookup": True}
+    files = spark.read.format("binaryFile").options(**options).load(path)
+    return files.select(_below(path, F.col("_metadata.file_path")).alias("file_name"), "path")
+
+
+def read_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """``file_name, row_index`` of the rows of some shards below ``root``; no column is read."""
+    rows = spark.read.option("basePath", root).parquet(*paths)
+    return rows.select(
+        _below(root, F.col("_metadata.file_path")).alias("file_name"), F.col("_metadata.row_index").alias("row_index")
+    )
+
+
 def read_shard(spark: SparkSession, path: str, file_name: str) -> DataFrame:
     """The rows of one shard; the filter prunes the file list, nothing else is opened."""
     return spark.read.parquet(path).where(_below(path, F.col("_metadata.file_path")) == file_name)

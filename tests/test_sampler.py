@@ -104,3 +104,45 @@ def test_packed_batches_keep_epochs_apart(spark):
     two = sampler.epoch_assignment(spark.range(10), 2, 2, epoch=1).withColumn("epoch", F.lit(1))
     packed = sampler.packed_batches(one.unionAll(two), ["id"]).collect()
     assert all(len(r.samples) <= 2 for r in packed) and len(packed) == 12
+
+
+@pytest.mark.parametrize("n, world", [(1, 4), (2, 3), (3, 8), (8, 8), (17, 4), (24, 5), (1000, 3), (4099, 7)])
+def test_bijection_gives_every_rank_as_much(spark, n, world):
+    rows = sampler.bijective_assignment(spark.range(n, numPartitions=3), world, 3, 5, 2, "id").collect()
+    each = -(-n // world)
+    assert sorted(r.pos for r in rows) == list(range(each * world))
+    first = {r.pos: r.id for r in rows if r.pos < n}
+    assert sorted(first.values()) == list(range(n))
+    for r in rows:
+        assert r.id == first[r.pos % n] and (r.rank, r.rank_pos, r.batch) == (r.pos % world, r.pos // world, r.pos // world // 3)
+
+
+def test_bijection_is_a_projection(spark, plan):
+    rows = sampler.bijective_assignment(spark.range(1000).withColumn("payload", F.col("id") * 2), 4, 3, 1, 1, "id", rows=1000)
+    text = plan(rows)
+    assert not any(word in text for word in ("Exchange", "Join", "Sort", "Window"))
+    places = {r.pos: r.id for r in rows.collect()}
+    assert all(r.payload == 2 * r.id for r in rows.collect())
+    moved = sum(abs(i - p) for p, i in places.items()) / 1000
+    assert 280 < moved < 390
+    other = sampler.bijective_assignment(spark.range(1000), 4, 3, 1, 2, "id", rows=1000)
+    assert {r.pos: r.id for r in other.collect()} != places
+
+
+@pytest.mark.parametrize("ids", [[5], [-1, 0], [0, 1, 9]])
+def test_bijection_refuses_numbers_beyond_the_rows(spark, ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "id long")
+    with pytest.raises(Exception, match="below the row count"):
+        sampler.bijective_assignment(rows, 2, 2, id_col="id").collect()
+
+
+def test_bijective_epoch_moves_token_arrays_once(spark, plan):
+    from residua.plans.epochs import epoch_samples
+
+    ids = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda x: (x + 4).cast("int"))
+    samples = spark.range(100).select(F.col("id").alias("global_idx"), ids.alias("input_ids"), F.transform(ids, lambda x: F.lit(1)).alias("attention_mask"))
+    rows = epoch_samples(samples, 4, 5, 1, 0, batches_per_file=2, tasks=3, order="bijection", rows=100)
+    assert plan(rows).count("Exchange") == 1
+    assert sorted(r.global_idx for r in rows.collect()) == list(range(100))
+    with pytest.raises(ValueError):
+        epoch_samples(samples, 4, 5, order="other")

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +28,40 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+# Paths given out within ``stored_alone``.
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    scratch = _SCRATCH.get()
+    if scratch is not None:
+        scratch.append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder of the shared file system, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stored_alone(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The result of ``build`` written and read back; the tables that it stored are deleted.
+
+    They are of no use once the result is there, as nothing is computed from them again.
+    """
+    path = new_path(spark, name)
+    inner: list[str] = []
+    token = _SCRATCH.set(inner)
+    try:
+        df = build()
+        df.write.parquet(path)
+    finally:
+        _SCRATCH.reset(token)
+        for other in inner:
+            delete(spark, other)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

@@ -90,3 +90,23 @@ def test_small_shares_are_honoured(spark):
     assert split_threshold(0.99999) < split_threshold(1.0) == 2**60
     sides = hash_split(spark.range(300_000), "id", 0.99999).groupBy("split").count().collect()
     assert {r["split"] for r in sides} == {"train", "test"}
+
+
+def test_stored_alone_leaves_the_result_only(spark, tmp_path, conf):
+    import os
+
+    from residua.plans.workspace import new_path, stored, stored_alone
+
+    conf("spark.checkpoint.dir", str(tmp_path / "shared"))
+    before = new_path(spark, "before")
+
+    def build():
+        inner = stored(spark, spark.range(5), "inner")
+        return stored_alone(spark, lambda: stored(spark, inner.where("id > 1"), "deep"), "middle")
+
+    assert sorted(r.id for r in stored_alone(spark, build, "result").collect()) == [2, 3, 4]
+    assert [name.split("-")[0] for name in os.listdir(tmp_path / "shared")] == ["result"]
+    with pytest.raises(ZeroDivisionError):
+        stored_alone(spark, lambda: stored(spark, spark.range(1), "lost").limit(1 // 0), "never")
+    assert [name.split("-")[0] for name in os.listdir(tmp_path / "shared")] == ["result"]
+    assert before

@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.workspace import stored
+from ..plans.workspace import stored, stored_alone
 from .graph import components
-from .substrings import forget, text_key, texts_of
+from .substrings import text_key, texts_of
 from .tasks import fixed_lists, map_arrow
 from .words import U64, Words, blocks, hash_windows, mix
 
@@ -194,12 +194,19 @@ def _near(settings: Settings):
 
 
 def _unconnected(rows: DataFrame, settings: Settings) -> DataFrame:
-    """``a, b``: the pairs of a node that are not connected, and not too far by sizes and lanes."""
-    columns = ["node", "cid", "component", "n", "lanes"]
-    here = rows.select(*columns).toDF("node", "a", "ca", "na", "la")
-    there = rows.select(*columns).toDF("node", "b", "cb", "nb", "lb")
+    """``a, b``: the pairs of a node that are not connected, and not too far by sizes and lanes.
+
+    A pair that shares several nodes is given by the least of them only. A set is in some tens
+    of nodes at most, by the number of trees and levels, so its list of nodes is short.
+    """
+    nodes = rows.groupBy("cid").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    rows = rows.join(nodes, "cid")
+    columns = ["node", "cid", "component", "n", "lanes", "nodes"]
+    here = rows.select(*columns).toDF("node", "a", "ca", "na", "la", "va")
+    there = rows.select(*columns).toDF("node", "b", "cb", "nb", "lb", "vb")
     near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _near(settings)
-    return here.join(there, "node").where(near).select("a", "b").distinct()
+    once = F.array_min(F.array_intersect("va", "vb")) == F.col("node")
+    return here.join(there, "node").where(near & once).select("a", "b").distinct()
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
@@ -304,14 +311,12 @@ def _in_components(texts: DataFrame, settings: Settings) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
-    texts = texts_of(docs)
-    of_text = _in_components(texts, settings)
-    rows = stored(
-        docs.sparkSession,
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *text_key()).join(of_text, ["k", "tag"]).select("doc_id", "n", "component"),
-        "documents-in-components",
-    )
-    forget(texts)
+    def build() -> DataFrame:
+        of_text = _in_components(texts_of(docs), settings)
+        ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *text_key())
+        return ids.join(of_text, ["k", "tag"]).select("doc_id", "n", "component")
+
+    rows = stored_alone(docs.sparkSession, build, "documents-in-components")
     # Rows without a set have no part in a component; they must not meet under its name either.
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     least = rows.where(~alone).groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -332,19 +337,22 @@ def without_near_duplicates(docs: DataFrame, settings: Settings = Settings()) ->
     # A row without words or id is not part of any group, and there may be many of them.
     alone = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     some = docs.where(~alone)
-    texts = texts_of(some)
     names = [name for name in docs.columns if name != "text"]
     k, tag = text_key()
-    rows = some.select(
-        F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
-        k.alias("k"), tag.alias("tag"),
-    )
-    placed = stored(spark, rows.join(_in_components(texts, settings), ["k", "tag"]), "rows-in-components")
-    # The text's key breaks ties between rows that share an id; copies of a row are counted in the tasks.
-    best = placed.groupBy("component").agg(F.min(F.struct("id", "k", "tag")).alias("best")).select("component", "best.*")
-    kept = placed.join(best, ["component", "id", "k", "tag"]).dropDuplicates(["component", "id", "k", "tag"])
-    chosen = stored(spark, kept.select("row", "k", "tag"), "kept-rows")
-    out = chosen.join(texts, ["k", "tag"]).select(
+
+    def build() -> DataFrame:
+        texts = texts_of(some)
+        rows = some.select(
+            F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
+            k.alias("k"), tag.alias("tag"),
+        )
+        placed = stored(spark, rows.join(_in_components(texts, settings), ["k", "tag"]), "rows-in-components")
+        # The text's key breaks ties between rows that share an id; copies of a row are counted in the tasks.
+        best = placed.groupBy("component").agg(F.min(F.struct("id", "k", "tag")).alias("best")).select("component", "best.*")
+        kept = placed.join(best, ["component", "id", "k", "tag"]).dropDuplicates(["component", "id", "k", "tag"])
+        return kept.select("row", "k", "tag").join(texts, ["k", "tag"]).select("row", "text")
+
+    out = stored_alone(spark, build, "kept-rows").select(
         *[F.col("text") if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns]
     )
     return out.unionAll(docs.where(alone))

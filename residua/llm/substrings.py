@@ -21,7 +21,6 @@ columns are ignored by ``remove_repeats`` and kept by ``without_repeats``.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.workspace import new_path, stored
+from ..plans.workspace import new_path, on_delete, stored, stored_alone
 from .tasks import map_arrow, map_arrow_partition
 from .words import U64, Words, blocks, covered, hash_windows, mix, repeated
 
@@ -89,26 +88,22 @@ def spans_of(w: Words, settings: Settings) -> Spans:
     return Spans(doc[begin], at[begin] - w.ptr[doc[begin]], np.diff(np.append(begin, len(at))), runs[anchor[begin]])
 
 
-def forget(texts: DataFrame) -> None:
-    """Takes the table of ``texts_of`` off the catalog; its files stay in the shared folder."""
-    name = texts.schema["text"].metadata["table"]
-    texts.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-
-
 def texts_of(docs: DataFrame) -> DataFrame:
     """Every distinct text once, bucketed by ``k, tag`` so that later joins leave it in place.
 
     ``k`` is a hash of the text and ``tag`` part of a second one; both together identify it.
     ``n_rows`` counts its copies, which are added up in the tasks before the shuffle, and that
-    shuffle deals the rows out as the buckets want them: a task writes one file a bucket.
+    shuffle deals the rows out as the buckets want them: a task writes one file a bucket. Called
+    within ``stored_alone``, which deletes the table and its entry in the catalog.
     """
     spark = docs.sparkSession
     keyed = docs.select(*text_key(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     once = keyed.groupBy("k", "tag").agg(F.count("*").alias("n_rows"), F.first("text").alias("text"))
-    name = f"residua_texts_{uuid.uuid4().hex}"
+    path = new_path(spark, "texts")
+    name = on_delete(path, f"residua_{path.rsplit('/', 1)[1].replace('-', '_')}")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    once.write.option("path", new_path(spark, "texts")).format("parquet").bucketBy(parts, "k", "tag").saveAsTable(name)
-    return spark.table(name).withMetadata("text", {"table": name})
+    once.write.option("path", path).format("parquet").bucketBy(parts, "k", "tag").saveAsTable(name)
+    return spark.table(name)
 
 
 def text_key() -> tuple:
@@ -336,21 +331,23 @@ def applied(texts: DataFrame, found: DataFrame, settings: Settings, with_text: b
 
 def remove_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row of ``docs``."""
-    spark = docs.sparkSession
-    texts = texts_of(docs)
-    done = stored(spark, applied(texts, stretches(texts, settings), settings, False).drop("kept_text"), "kept")
-    forget(texts)
+    def build() -> DataFrame:
+        texts = texts_of(docs)
+        return applied(texts, stretches(texts, settings), settings, False).drop("kept_text")
+
+    done = stored_alone(docs.sparkSession, build, "kept")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *text_key())
     return rows.join(done, ["k", "tag"]).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def without_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with the repeating passages cut out of ``text``; all rows and columns stay."""
-    spark = docs.sparkSession
-    texts = texts_of(docs)
-    done = applied(texts, stretches(texts, settings), settings, True).where("n_removed > 0")
-    changed = stored(spark, done.select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), "kept_text"), "cut-texts")
-    forget(texts)
+    def build() -> DataFrame:
+        texts = texts_of(docs)
+        done = applied(texts, stretches(texts, settings), settings, True).where("n_removed > 0")
+        return done.select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), "kept_text")
+
+    changed = stored_alone(docs.sparkSession, build, "cut-texts")
     # Copies of a text may be a large part of the rows, so the rows move and hot keys can be split.
     k, tag = text_key()
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")

@@ -36,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.workspace import stored
-from .substrings import forget, text_key, texts_of
+from ..plans.workspace import stored, stored_alone
+from .substrings import text_key, texts_of
 from .tasks import map_arrow, map_arrow_partition
 from .words import U64, WORD_BASE, hash_windows, mix, powers, text_bytes
 
@@ -463,15 +463,12 @@ def _union(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def remove_repeated_bytes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row of ``docs``."""
-    texts = texts_of(docs)
-    try:
+    def build() -> DataFrame:
+        texts = texts_of(docs)
         cut = applied(texts, stretches(texts, settings), settings)
-        done = stored(
-            docs.sparkSession, cut.select("k", "tag", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")),
-            "cut-bytes",
-        )
-    finally:
-        forget(texts)
+        return cut.select("k", "tag", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+    done = stored_alone(docs.sparkSession, build, "cut-bytes")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *text_key())
     return rows.join(done, ["k", "tag"]).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -481,12 +478,12 @@ def without_repeated_bytes(docs: DataFrame, settings: Settings = Settings()) ->
 
     All rows and other columns stay; a null text is empty.
     """
-    texts = texts_of(docs)
-    try:
+    def build() -> DataFrame:
+        texts = texts_of(docs)
         cut = applied(texts, stretches(texts, settings), settings).where("n_removed > 0")
-        changed = stored(docs.sparkSession, cut.select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), "kept"), "cut-bytes")
-    finally:
-        forget(texts)
+        return cut.select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), "kept")
+
+    changed = stored_alone(docs.sparkSession, build, "cut-bytes")
     k, tag = text_key()
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
     joined = docs.select(whole, k.alias("_k"), tag.alias("_tag")).join(changed, ["_k", "_tag"], "left")

@@ -40,8 +40,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+# Catalog tables by the folder they are kept in.
+_TABLES: dict[str, str] = {}
+
+
+def on_delete(path: str, table: str) -> str:
+    """Has the catalog's ``table`` dropped with its folder; gives its name."""
+    _TABLES[path] = table
+    return table
+
+
 def delete(spark: SparkSession, path: str) -> None:
-    """Removes a folder of the shared file system, if it is there."""
+    """Removes a folder of the shared file system, if it is there, and the table kept in it."""
+    if path in _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop(path)}")
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 

@@ -92,12 +92,12 @@ def test_small_shares_are_honoured(spark):
     assert {r["split"] for r in sides} == {"train", "test"}
 
 
-def test_stored_alone_leaves_the_result_only(spark, tmp_path, conf):
+def test_stored_alone_leaves_the_result_only(spark, tmp_path, monkeypatch):
     import os
 
     from residua.plans.workspace import new_path, stored, stored_alone
 
-    conf("spark.checkpoint.dir", str(tmp_path / "shared"))
+    monkeypatch.setattr("residua.plans.workspace.shared_folder", lambda spark: str(tmp_path / "shared"))
     before = new_path(spark, "before")
 
     def build():

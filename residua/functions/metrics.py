@@ -43,6 +43,11 @@ def perplexity(loss: Column) -> Column:
     return F.exp(loss)
 
 
+def in_single(value: Column) -> Column:
+    """The nearest value in single precision; Infinity beyond its range."""
+    return value.cast("float").cast("double")
+
+
 def rate(amount: Column, seconds: Column) -> Column:
     """Per second; NULL where no time has passed."""
     return F.try_divide(amount.cast("double"), seconds.cast("double"))
@@ -73,17 +78,24 @@ def metric_line(
     samples_per_second: Column,
     tokens_per_second: Column,
     seconds: Column,
+    single: bool = False,
 ) -> Column:
-    """One report as text. Training steps print as a float, evaluation steps do not."""
+    """One report as text. Training steps print as a float, evaluation steps do not.
+
+    ``single`` takes loss and perplexity through single precision, as scripts do that hold
+    them in tensors; rates and times are doubles there too.
+    """
     if prefix not in ("Training", "Eval"):
         raise ValueError(f"prefix must be 'Training' or 'Eval', got {prefix!r}")
     shown = F.format_string("%.1f", step.cast("double")) if prefix == "Training" else step.cast("bigint").cast("string")
+    loss = in_single(loss) if single else loss
+    spread = in_single(perplexity(loss)) if single else perplexity(loss)
     # The words of a line.
     return F.concat(
         F.lit("Epoch: "), epoch.cast("string"),
         F.lit(", Step: "), shown,
         F.lit(f", {prefix} Loss: "), _fixed(loss),
-        F.lit(f", {prefix} Perplexity: "), _fixed(perplexity(loss)),
+        F.lit(f", {prefix} Perplexity: "), _fixed(spread),
         F.lit(f", {prefix} Samples/sec: "), _fixed(samples_per_second),
         F.lit(f", {prefix} Tokens/sec: "), _fixed(tokens_per_second),
         F.lit(f", {prefix} Total time taken for the step :"), _decimal(seconds),

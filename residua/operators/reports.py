@@ -104,10 +104,10 @@ def eval_report(batch_losses: DataFrame, max_length: int, compat: bool = False)
     return with_rates(epochs).select(*REPORT_COLUMNS)
 
 
-def format_metrics(report: DataFrame, prefix: str, keep=()) -> DataFrame:
-    """The report as log lines in ``value``."""
+def format_metrics(report: DataFrame, prefix: str, keep=(), single: bool = False) -> DataFrame:
+    """The report as log lines in ``value``; ``single`` as in ``metric_line``."""
     names = ["epoch", "step", "loss", "samples_per_second", "tokens_per_second", "seconds"]
-    line = metrics.metric_line(prefix, *[F.col(n) for n in names])
+    line = metrics.metric_line(prefix, *[F.col(n) for n in names], single=single)
     return report.select(*keep, line.alias("value"))
 
 

@@ -9,7 +9,7 @@ from ..plans.workspace import new_path
 from ..sources import fasta, read_fasta, read_sequences_csv
 from .registry import Registry, joined
 from .sqlhash import seeded_hash_sql
-from .standins import FASTA_SQL, MAX_LENGTH, SEQUENCES_SQL, TOKENISED_SQL, Tables, text
+from .standins import FASTA_SQL, MAX_LENGTH, SEQUENCES_SQL, TOKENISED_SQL, WRAP, Tables, text
 
 SEED = 42
 FILES = 16
@@ -36,6 +36,22 @@ def to_table(t: Tables):
     )
 
 
+def joined_lines(t: Tables):
+    """Bodies of wrapped records come back as one sequence: its letters, ends and checksum."""
+    sequence = F.col("sequence")
+    return read_fasta(t.spark, t.fasta).select(
+        "sequence_id", F.length(sequence).alias("residues"), F.md5(sequence.cast("binary")).alias("checksum"),
+        (sequence.contains("\n") | sequence.contains(">")).alias("marks_left"),
+    )
+
+
+def sequences_written(t: Tables):
+    """The CSV that a job writes from FASTA, read back."""
+    path = new_path(t.spark, "snk1-fasta")
+    split.write_sequences_csv(read_fasta(t.spark, t.fasta), path)
+    return read_sequences_csv(t.spark, path)
+
+
 def header_lines(t: Tables):
     lines = t.spark.read.text(t.fasta)
     return lines.where(F.col("value").startswith(">")).select(F.col("value").alias("header"))
@@ -75,10 +91,10 @@ def random_split(t: Tables):
 
 
 def edge_records(t: Tables):
-    """Headers that are empty, begin with ``>`` or have no body, anywhere in a file."""
+    """Headers that are empty, begin with ``>`` or have no body, with whole wrapped sequences."""
     case = F.col("doc_id") % 4
     header = F.when(case == 0, "").when(case == 1, F.concat(F.lit(">"), "sequence_id")).otherwise(F.col("sequence_id"))
-    body = F.when(case == 2, "").otherwise(F.concat(F.lit("\n"), F.substring("sequence", 1, 50)))
+    body = F.when(case == 2, "").otherwise(F.concat(F.lit("\n"), F.regexp_replace("sequence", f"(.{{{WRAP}}})", "$1\n")))
     record = F.concat(F.lit(">"), header, body)
     path = t.staged("edge-fasta", lambda path: t.sequences.select(record).write.text(path))
     return read_fasta(t.spark, path)
@@ -200,7 +216,7 @@ def register(r: Registry) -> None:
         SELECT count(*) AS rows, count(*) AS ids, true AS share_holds, true AS repeats
         FROM documents""")
     r.add("prj1_edge_records", edge_records, f"""
-        SELECT CASE WHEN doc_id % 4 = 2 THEN '' ELSE substr(sequence, 1, 50) END AS sequence,
+        SELECT CASE WHEN doc_id % 4 = 2 THEN '' ELSE sequence END AS sequence,
                CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN concat('>', sequence_id)
                     ELSE sequence_id END AS sequence_id
         FROM ({SEQUENCES_SQL})""")
@@ -215,7 +231,7 @@ def register(r: Registry) -> None:
         FROM lineitem, (VALUES ('even'), ('hot')) k(kind) GROUP BY kind""")
     r.add("par1_bounded_files", bounded_files, """
         SELECT count(*) AS rows, true AS within_cap FROM documents""")
-    r.add("snk1_sequences_csv", csv_scan, sequences)
+    r.add("snk1_sequences_csv", sequences_written, sequences)
     r.add("snk1_written_csv", written_csv, f"""
         SELECT sequence, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN concat(' ', sequence_id, '  ')
                               ELSE sequence_id END AS sequence_id
@@ -223,7 +239,9 @@ def register(r: Registry) -> None:
     r.add("snk2_split_directories", split_directories, f"""
         SELECT doc_id, {side} AS split, {text("input_ids")}, {text("attention_mask")}
         FROM ({TOKENISED_SQL})""")
-    r.add("udf2_lines_to_records", assembled, sequences)
+    r.add("udf2_lines_to_records", joined_lines, f"""
+        SELECT sequence_id, length(sequence)::INTEGER AS residues, md5(sequence) AS checksum, false AS marks_left
+        FROM ({SEQUENCES_SQL})""")
     r.add("fun_paths_and_strings", path_functions, r"""
         SELECT page_id, starts_with(url, 'https:') AS secure,
                substr(url, 2) AS without_first, concat(url, '/train') AS extended,

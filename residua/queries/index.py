@@ -102,6 +102,12 @@ def month_starts(t: Tables):
     return month_map(t).select("file_name", "start_line")
 
 
+def part_starts(t: Tables):
+    """Lines of a part play a file; its start by the lines of all parts before it."""
+    named = t("lineitem").select(F.lpad(F.col("l_partkey").cast("string"), 12, "0").alias("file_name"))
+    return index.index_map(named).select("file_name", "start_line")
+
+
 def month_ends(t: Tables):
     return month_map(t).select("file_name", "end_line")
 
@@ -225,7 +231,9 @@ def register(r: Registry) -> None:
                    AS start_line_num,
                (sum(count(*)) OVER (ORDER BY o_orderpriority) - 1)::BIGINT AS end_line_num
         FROM orders GROUP BY 1""")
-    r.add("prj6_start_line", month_starts, f"SELECT file_name, start_line FROM ({MONTHS_SQL})")
+    r.add("prj6_start_line", part_starts, """
+        SELECT file_name, (sum(n) OVER (ORDER BY file_name) - n)::BIGINT AS start_line
+        FROM (SELECT lpad(l_partkey::VARCHAR, 12, '0') AS file_name, count(*) AS n FROM lineitem GROUP BY 1)""")
     r.add("prj7_end_line", month_ends, f"SELECT file_name, end_line FROM ({MONTHS_SQL})")
     r.add("prj8_four_columns", customer_map, """
         SELECT file_name, num_sequences, (through - num_sequences)::BIGINT AS start_line,

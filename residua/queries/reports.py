@@ -135,6 +135,15 @@ def lines_of_reports(t: Tables):
     return t.training_lines.unionAll(t.eval_lines)
 
 
+def lines_in_single(t: Tables):
+    """Lines of runs that hold their losses in single precision; some overflow there."""
+    steps = reports.training_report(t.batch_losses, ACCUMULATION, MAX_LENGTH, compat=True)
+    epochs = reports.eval_report(t.batch_losses, MAX_LENGTH, compat=True)
+    return reports.format_metrics(steps, "Training", single=True).unionAll(
+        reports.format_metrics(epochs, "Eval", single=True)
+    )
+
+
 def log_scan(t: Tables):
     return read_log(t.spark, t.log)
 
@@ -265,14 +274,14 @@ def columns_sql(source: str) -> str:
         FROM ({source})"""
 
 
-def line_sql(prefix: str, source: str, step: str) -> str:
+def line_sql(prefix: str, source: str, step: str, loss: str = "loss", spread: str = "exp(loss)") -> str:
     def fixed(value: str) -> str:
         return f"printf('%.4f', round({value}, 4))"
 
     return f"""
         SELECT concat('Epoch: ', epoch, ', Step: ', {step},
-                      ', {prefix} Loss: ', {fixed("loss")},
-                      ', {prefix} Perplexity: ', {fixed("exp(loss)")},
+                      ', {prefix} Loss: ', {fixed(loss)},
+                      ', {prefix} Perplexity: ', {fixed(spread)},
                       ', {prefix} Samples/sec: ', {fixed("samples / seconds")},
                       ', {prefix} Tokens/sec: ', {fixed("tokens / seconds")},
                       ', {prefix} Total time taken for the step :', seconds::DOUBLE) AS value
@@ -380,6 +389,10 @@ def register(r: Registry) -> None:
         SELECT epoch::BIGINT AS epoch, step::BIGINT AS step, 1::BIGINT AS lines
         FROM ({report_sql(False)})""")
     r.add("prj12_format_lines", lines_of_reports, LINES_SQL)
+    single = {"loss": "loss::FLOAT::DOUBLE", "spread": "exp(loss::FLOAT::DOUBLE)::FLOAT::DOUBLE"}
+    r.add("prj12_format_lines_compat", lines_in_single, f"""
+        {line_sql("Training", report_sql(True), "step::DOUBLE", **single)}
+        UNION ALL {line_sql("Eval", eval_sql(True), "step::BIGINT", **single)}""")
     r.add("src10_log_scan", log_scan, LINES_SQL)
     r.add("prj11_parse_log", parsed_log, parsed)
     r.add("prj11_large_steps", large_steps, """

@@ -1,12 +1,15 @@
 """Quality rules by distance of a document's histograms from those of its language.
 
 Two histograms are taken of each text: its characters by class, and its words by the most
-common short words of its language, all others together. Their references are the sums over
-all texts of the same language that hardly hold symbols. A text is rejected if the Jensen-Shannon distance to a
-reference is too large and the text is long enough for it to mean something.
+common short words of its language, all others together. The references cover all texts of
+the language: of each class of characters the median of the texts' shares, so that up to half
+of the texts may be unlike prose without moving it far, and of the words the sums. A text is
+rejected if the Jensen-Shannon distance to a reference is too large and the text is long enough
+for it to mean something.
 
 Defined results: a null text counts as empty and has no words, so the base rule rejects it.
-Rows with a null language form a language of their own. Repeated rows are judged alike, each
+Rows with a null language form a language of their own; a language without references is judged
+by the base rule alone. Repeated rows are judged alike, each
 for itself. An empty table gives no rows. Ties between common words go to the word that comes
 first in byte order. Other columns are ignored.
 """
@@ -45,8 +48,9 @@ CLASS_NAMES = ["lower_case", "upper_case", "digit", "space", "mark", "symbol", "
 # Counted as symbols by the base rule.
 _BASE_SYMBOL = np.zeros(256, np.int64)
 _BASE_SYMBOL[list(b"#*$%&|<>")] = 1
-# Texts with more than one symbol in so many bytes are no part of the references.
-SYMBOL_SHARE = 100
+
+# A text's share of a class is counted in so many steps.
+SHARE_STEPS = 4096
 
 # A word can be a common word if it has at most this many characters, all of them letters.
 SHORT = 6
@@ -62,7 +66,7 @@ class Rules:
 
     n_common: int = 32
     max_char_distance: float = 0.165
-    max_word_distance: float = 0.33
+    max_word_distance: float = 0.31
     min_chars: int = 200
     min_words: int = 100
     min_reference_words: int = 200
@@ -101,23 +105,26 @@ def _short_words(w: Words) -> np.ndarray:
 
 
 def _counted(batches):
-    """Per language: characters by class, words, and counts of short words."""
-    classes: dict[str, np.ndarray] = {}
+    """Per language: texts by their share of each class, words, and counts of short words."""
+    shares: dict[tuple[str, int, int], int] = {}
     totals: dict[str, int] = {}
     shorts: dict[tuple[str, bytes], int] = {}
     for batch in batches:
         langs = batch.column("lang").to_pylist()
         for w in blocks(batch.column("text")):
-            plain = SYMBOL_SHARE * w.per_doc(_BASE_SYMBOL[w.data], w.offsets) <= np.diff(w.offsets)
             names, index = np.unique(np.array(langs[w.first : w.first + w.n_docs], dtype=object).astype(str), return_inverse=True)
             by_class, short = _classes(w), _short_words(w)
+            filled = by_class.sum(axis=1)
+            steps = SHARE_STEPS * by_class // np.maximum(filled, 1)[:, None]
             starts, ends = w.spans
             hashes = hash_words(w.data, starts[short], ends[short]) if len(short) else np.zeros(0, U64)
-            index = np.where(plain, index, -1)
             owner = index[w.doc_of_word[short]]
             for k, name in enumerate(names):
                 name = str(name)
-                classes[name] = classes.get(name, 0) + by_class[index == k].sum(axis=0)
+                for kind in range(N_CLASSES):
+                    step, n = np.unique(steps[(index == k) & (filled > 0), kind], return_counts=True)
+                    for key, more in zip(step.tolist(), n.tolist()):
+                        shares[name, kind, key] = shares.get((name, kind, key), 0) + more
                 totals[name] = totals.get(name, 0) + int(w.counts[index == k].sum())
                 own = owner == k
                 _, at, n = np.unique(hashes[own], return_index=True, return_counts=True)
@@ -128,9 +135,9 @@ def _counted(batches):
                 yield _short_rows(shorts)
                 shorts = {}
     yield _short_rows(shorts)
-    rows = [(name, str(k), int(v)) for name, c in classes.items() for k, v in enumerate(c)]
-    rows += [(name, "words", n) for name, n in totals.items()]
-    yield {"lang": [r[0] for r in rows], "kind": [r[1] for r in rows], "word": [""] * len(rows), "n": [r[2] for r in rows]}
+    rows = [(name, str(kind), f"{step:04d}", n) for (name, kind, step), n in shares.items()]
+    rows += [(name, "words", "", n) for name, n in totals.items()]
+    yield dict(zip(("lang", "kind", "word", "n"), (list(c) for c in zip(*rows)))) if rows else _short_rows({})
 
 
 def _short_rows(shorts: dict) -> dict:
@@ -143,15 +150,25 @@ def _short_rows(shorts: dict) -> dict:
 def reference_counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``lang, kind, word, n``: the references of all languages, a bounded number of rows each.
 
-    Counts cover all texts. They are added up in the tasks before the shuffle.
+    Counts cover all texts. They are added up in the tasks before the shuffle. The row of a class
+    of characters holds the median share, the least that half of the texts with characters keep to.
     """
     texts = columns_as(docs, text=("text", "string"), lang=("lang", "string")).select("text", _language())
     counted = map_arrow_partition(texts, "lang string, kind string, word string, n bigint", _counted)
     sums = counted.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
+    words = sums.where(F.col("kind").isin("short", "words"))
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "word"))
-    # All kinds but the short words have one row, so one limit holds for all; Spark applies it
-    # before the shuffle of the window as well.
-    return sums.withColumn("_rank", rank).where(F.col("_rank") <= rules.n_common).drop("_rank")
+    # The words' total is one row, so one limit holds for both kinds; Spark applies it before
+    # the shuffle of the window as well.
+    words = words.withColumn("_rank", rank).where(F.col("_rank") <= rules.n_common).drop("_rank")
+    # A class has at most as many rows as there are steps.
+    by_class = Window.partitionBy("lang", "kind")
+    upto = by_class.orderBy("word").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shares = sums.where(~F.col("kind").isin("short", "words")).select(
+        "lang", "kind", "word", F.sum("n").over(upto).alias("_upto"), F.sum("n").over(by_class).alias("_all")
+    )
+    median = shares.where(2 * F.col("_upto") >= F.col("_all")).groupBy("lang", "kind").agg(F.min("word").cast("bigint").alias("n"))
+    return words.unionByName(median.select("lang", "kind", F.lit("").alias("word"), "n"))
 
 
 def references(docs: DataFrame, rules: Rules = Rules()) -> References:
@@ -219,15 +236,17 @@ def _repeat_words(w: Words) -> np.ndarray:
 
 def _judged(batch, refs: References, rules: Rules):
     known = {name: i for i, name in enumerate(refs.languages)}
-    languages = np.array([known.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
+    # The last row is that of languages without references.
+    languages = np.array([known.get(x, len(known)) for x in batch.column("lang").to_pylist()], np.int64)
+    by_chars, by_words = (np.concatenate([x, np.zeros((1, x.shape[1]))]) for x in (refs.chars, refs.words))
     for w in blocks(batch.column("text")):
         language = languages[w.first : w.first + w.n_docs]
         n_words, repeats = w.counts, _repeat_words(w)
         failed = (n_words < MIN_WORDS) | (100 * repeats > REPEAT_PERCENT * n_words)
         chars = _classes(w)
-        by_char = js_distance(chars, refs.chars[language])
-        by_word = js_distance(_common_words(w, language, refs), refs.words[language])
-        bad = (refs.words[language].sum(axis=1) >= rules.min_reference_words) & (
+        by_char = js_distance(chars, by_chars[language])
+        by_word = js_distance(_common_words(w, language, refs), by_words[language])
+        bad = (by_words[language].sum(axis=1) >= rules.min_reference_words) & (
             ((chars.sum(axis=1) >= rules.min_chars) & (by_char > rules.max_char_distance))
             | ((n_words >= rules.min_words) & (by_word > rules.max_word_distance))
         )

@@ -97,11 +97,13 @@ DIVERGENCE_RULES = f"""
         GROUP BY doc_id),
     lines AS (
         SELECT doc_id, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{WORD}')) AS lines FROM texts),
-    plain AS (SELECT * FROM texts WHERE 100 * n_symbols <= strlen(text)),
     chars AS (SELECT doc_id, unnest([{", ".join(_COUNTS[k] for k in range(7))}]) AS n, unnest(range(7)) AS bin FROM texts),
-    char_reference AS (SELECT lang, bin, sum(n) AS n FROM chars JOIN plain USING (doc_id) GROUP BY ALL),
+    shares AS (
+        SELECT lang, bin, 4096 * n // length(text) AS share FROM chars JOIN texts USING (doc_id) WHERE text <> ''),
+    char_reference AS (
+        SELECT lang, bin, list(share ORDER BY share)[(count(*) + 1) // 2] AS n FROM shares GROUP BY ALL),
     placed AS (SELECT doc_id, lang, unnest(words) AS word FROM texts),
-    counted AS (SELECT lang, word, count(*) AS n FROM placed WHERE doc_id IN (SELECT doc_id FROM plain) GROUP BY ALL),
+    counted AS (SELECT lang, word, count(*) AS n FROM placed GROUP BY ALL),
     common AS (
         SELECT lang, word, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS bin FROM counted
         WHERE length(word) <= 6 AND NOT regexp_matches(word, '[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]')
@@ -124,7 +126,7 @@ DIVERGENCE_RULES = f"""
            NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (
                coalesce(t.n, 0) >= 200 AND (
                    n_chars >= 200 AND coalesce(c.distance, 0) > 0.165
-                   OR n_words >= 100 AND coalesce(w.distance, 0) > 0.33)) AS kept
+                   OR n_words >= 100 AND coalesce(w.distance, 0) > 0.31)) AS kept
     FROM base LEFT JOIN totals t USING (lang) LEFT JOIN char_distance c USING (doc_id) LEFT JOIN word_distance w USING (doc_id)
 """
 

@@ -62,13 +62,14 @@ def by_hand(docs, rules=d.Rules()):
         return math.sqrt(max(total / 2, 0))
 
     rows = [(r["doc_id"], r["text"] or "", r["lang"]) for r in docs.collect()]
-    refs = {}
+    shares, refs = {}, {}
     for _, text, lang in rows:
-        c, w = refs.setdefault(lang, ([0] * 7, Counter()))
-        if 100 * sum(text.count(x) for x in "#*$%&|<>") <= len(text.encode()):
-            for i, n in enumerate(chars(text)):
-                c[i] += n
-            w.update(WORDS.findall(text))
+        _, w = refs.setdefault(lang, ([0] * 7, Counter()))
+        w.update(WORDS.findall(text))
+        if text:
+            shares.setdefault(lang, []).append([4096 * n // len(text) for n in chars(text)])
+    for lang, of_texts in shares.items():
+        refs[lang][0][:] = [sorted(column)[(len(column) - 1) // 2] for column in zip(*of_texts)]
     verdicts = {}
     for i, text, lang in rows:
         c, w = refs[lang]
@@ -112,3 +113,34 @@ def test_too_many_languages(documents):
 def test_distance_bounds():
     assert d.js_distance(np.array([[1, 0]]), np.array([[0, 5]])) == pytest.approx(1)
     assert d.js_distance(np.array([[2, 2]]), np.array([[5, 5]])) == pytest.approx(0)
+
+
+def symbols_and_prose(spark):
+    """A third of all rows are full of symbols."""
+    common = ["the", "of", "and", "to", "in"]
+    text = lambda s: " ".join(w if i % 3 else common[(i + s) % 5] for i, w in enumerate(prose(s, 200, 9000).replace("w1", "ab").split()))
+    good = [(i, text(i)) for i in range(60)]
+    return good, [(100 + i, "#$% <|> ".join(text(100 + i).split())) for i in range(30)]
+
+
+def test_symbols_count_and_reject_no_prose(spark):
+    good, symbols = symbols_and_prose(spark)
+    docs = as_docs(spark, good + symbols)
+    kept = {r["doc_id"]: r["kept"] for r in d.divergence_rules(docs).collect()}
+    assert all(kept[i] for i, _ in good) and not any(kept[i] for i, _ in symbols)
+    words = sum(r["n"] for r in d.reference_counts(docs).where("kind = 'words'").collect())
+    assert words == sum(len(WORDS.findall(t)) for _, t in good + symbols)
+
+
+def test_language_with_symbols_only_is_judged(spark):
+    _, symbols = symbols_and_prose(spark)
+    odd = (500, "A B C D E F G H I J " * 3 + " ".join(prose(9, 150, 9000).upper().split()))
+    kept = {r["doc_id"]: r["kept"] for r in d.divergence_rules(as_docs(spark, [*symbols, odd])).collect()}
+    assert all(kept[i] for i, _ in symbols) and not kept[500]
+
+
+def test_language_without_references(spark):
+    docs = as_docs(spark, [(1, prose(1, 300, 9000)), (2, "few words")])
+    for refs in (d.References(), d.references(docs.selectExpr("doc_id", "upper(text) AS text", "'other' AS lang"))):
+        got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in d.judge(docs, refs).collect()}
+        assert got == {1: (False, True), 2: (True, False)}

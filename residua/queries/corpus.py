@@ -37,10 +37,10 @@ def to_table(t: Tables):
 
 
 def joined_lines(t: Tables):
-    """Bodies of wrapped records come back as one sequence: its letters, ends and checksum."""
+    """Bodies of wrapped records come back as one whole sequence, with its length and checksum."""
     sequence = F.col("sequence")
     return read_fasta(t.spark, t.fasta).select(
-        "sequence_id", F.length(sequence).alias("residues"), F.md5(sequence.cast("binary")).alias("checksum"),
+        sequence, "sequence_id", F.length(sequence).alias("residues"), F.md5(sequence.cast("binary")).alias("checksum"),
         (sequence.contains("\n") | sequence.contains(">")).alias("marks_left"),
     )
 
@@ -240,7 +240,8 @@ def register(r: Registry) -> None:
         SELECT doc_id, {side} AS split, {text("input_ids")}, {text("attention_mask")}
         FROM ({TOKENISED_SQL})""")
     r.add("udf2_lines_to_records", joined_lines, f"""
-        SELECT sequence_id, length(sequence)::INTEGER AS residues, md5(sequence) AS checksum, false AS marks_left
+        SELECT sequence, sequence_id, length(sequence)::INTEGER AS residues, md5(sequence) AS checksum,
+               false AS marks_left
         FROM ({SEQUENCES_SQL})""")
     r.add("fun_paths_and_strings", path_functions, r"""
         SELECT page_id, starts_with(url, 'https:') AS secure,

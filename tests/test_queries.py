@@ -25,3 +25,9 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     assert compare(QUERIES[name](spark, SF_DIR), con, SQL[name]) is None
+
+
+def test_joined_lines_give_whole_sequences(spark, con):
+    """The rows hold the sequences themselves, not only their lengths and checksums."""
+    rows = QUERIES["udf2_lines_to_records"](spark, SF_DIR).select("sequence", "sequence_id")
+    assert compare(rows, con, SQL["prj1_assemble_records"]) is None

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from residua.operators import index, keyed, lookup, numbered
 from residua.operators.split import file_sizes, measured_ratio, write_shards, write_shards_of_size
+from residua.plans.sizing import spread_if_narrow
 from residua.sources import read_shards
 
 N, B = 1003, 100
@@ -147,3 +148,14 @@ def test_files_of_a_target_size(spark, tmp_path, conf, keys):
     assert len(sizes) > 3 and all(target / 2 <= s <= 2 * target for s in sizes)
     assert spark.read.parquet(path).count() == 200_000
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+
+
+def test_large_files_go_to_more_tasks(spark, tmp_path, conf):
+    """One file: the tasks grow with its splits, not with the cores alone."""
+    path = str(tmp_path / "one")
+    spark.range(300_000).coalesce(1).select(F.xxhash64("id").alias("x")).write.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    assert spread_if_narrow(spark.read.parquet(path)).rdd.getNumPartitions() == cores
+    conf("spark.sql.files.maxPartitionBytes", "100k")
+    spread = spread_if_narrow(spark.read.parquet(path))
+    assert spread.rdd.getNumPartitions() > 4 * cores and spread.count() == 300_000

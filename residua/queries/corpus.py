@@ -13,6 +13,8 @@ from .standins import FASTA_SQL, MAX_LENGTH, SEQUENCES_SQL, TOKENISED_SQL, WRAP,
 
 SEED = 42
 FILES = 16
+# Bytes of a file that are asked for, whatever the size of the table.
+MOST_BYTES = 64 << 20
 
 
 def fasta_scan(t: Tables):
@@ -138,15 +140,19 @@ def round_robin_files(t: Tables):
 def target_bytes(t: Tables):
     """Files of half to twice a target size, from rows in any order and by three hot keys."""
     rows = t.spread("lineitem")
+    trial = new_path(t.spark, "trial-bytes")
+    split.write_shards(rows, trial)
+    total = split.file_sizes(t.spark, trial).agg(F.sum("bytes")).first()[0]
+    target = min(total // 6, MOST_BYTES)
+    # A hot key is split between the tasks that bring it. They read the trial's files, as a table
+    # of one file may be one task, and a repartition before the writer's is left out by Spark.
+    dealt = t.spark.read.parquet(trial)
     out = None
     for name, keys in (("even", []), ("hot", ["l_returnflag"])):
-        trial = new_path(t.spark, "trial-bytes")
-        split.write_shards(rows, trial)
-        target = split.file_sizes(t.spark, trial).agg(F.sum("bytes")).first()[0] // 6
         ratio = 1.0
         for _ in range(2):
             path = new_path(t.spark, "target-bytes")
-            split.write_shards_of_size(rows, path, target, ratio, keys)
+            split.write_shards_of_size(dealt, path, target, ratio, keys)
             ratio = split.measured_ratio(t.spark, path, target, ratio)
         within = F.col("bytes").between(target / 2, target * 2)
         sizes = split.file_sizes(t.spark, path).agg(F.every(within).alias("within"), (F.count("*") >= 3).alias("several"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from residua.operators import index, keyed, lookup, numbered
 from residua.operators.split import file_sizes, measured_ratio, write_shards, write_shards_of_size
 from residua.plans.sizing import spread_if_narrow
+from residua.queries import corpus, standins
 from residua.sources import read_shards
 
 N, B = 1003, 100
@@ -150,6 +151,23 @@ def test_files_of_a_target_size(spark, tmp_path, conf, keys):
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
 
 
+def test_files_of_the_query_do_not_grow_with_the_table(spark, monkeypatch):
+    """What is asked for is bounded, and a hot key of a table of one file is split to that size."""
+    most, asked, largest = 1_200_000, [], []
+    write = write_shards_of_size
+
+    def watched(rows, path, target, *rest):
+        write(rows, path, target, *rest)
+        asked.append(target)
+        largest.append(max(r.bytes for r in file_sizes(spark, path).collect()))
+
+    monkeypatch.setattr(corpus, "MOST_BYTES", most, raising=False)
+    monkeypatch.setattr(corpus.split, "write_shards_of_size", watched)
+    rows = corpus.target_bytes(standins.Tables(spark, "/root/testdata/sf0.1")).collect()
+    assert max(asked) <= most and max(largest) <= 2 * most
+    assert sorted((r.kind, r.rows, r.several) for r in rows) == [("even", 600_000, True), ("hot", 600_000, True)]
+
+
 def test_large_files_go_to_more_tasks(spark, tmp_path, conf):
     """One file: the tasks grow with its splits, not with the cores alone."""
     path = str(tmp_path / "one")

@@ -28,6 +28,7 @@ from .words import U64, Words, blocks, mix, repeated
 
 FOLDS, FOLD = 4, 2
 THRESHOLD = 0.7
+ROWS_AT_ONCE = 1024
 
 
 @dataclass(frozen=True)
@@ -193,7 +194,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 def scores_of(column, model: Model) -> np.ndarray:
     if model.weights is None:
         return np.full(len(column), model.levels[0])
-    raw = _kernel(_described(column), model) @ model.weights
+    x = _described(column)
+    # The features are some ten times the statistics: a few rows at a time.
+    parts = [_kernel(x[lo : lo + ROWS_AT_ONCE], model) @ model.weights for lo in range(0, len(x), ROWS_AT_ONCE)]
+    raw = np.concatenate([*parts, np.zeros(0)])
     place = _cell(raw, model.settings.grid)
     return np.clip(np.interp(place, np.arange(len(model.levels)), model.levels), 0, 1)
 

@@ -1,12 +1,12 @@
 """Reproducible train/test split and the shard writers."""
 
-from contextlib import contextmanager
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HASH_BITS, hash_key, seeded_hash
+from ..plans.workspace import session_settings
 
 
 def split_threshold(train: float) -> int:
@@ -84,18 +84,6 @@ def write_shards(
     writer.parquet(path)
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]):
-    before = {key: spark.conf.get(key, None) for key in values}
-    for key, value in values.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def write_shards_of_size(
     df: DataFrame,
     path: str,
@@ -123,7 +111,7 @@ def write_shards_of_size(
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
     }
-    with _settings(spark, settings):
+    with session_settings(spark, settings):
         write_shards(df.hint("rebalance", *keys), path, by_split=by_split, mode=mode)
 
 

@@ -115,3 +115,20 @@ def test_threshold_is_exact(spark):
             copy[20 * j + 10] = f"z{k}-{j}"
         rows.append((k, " ".join(copy)))
     check(as_docs(spark, [(0, " ".join(words)), *rows]))
+
+
+def test_tasks_hand_over_little_at_a_time(spark, monkeypatch):
+    """Batches of long texts, and of pairs with their sets, stay small whatever the rows hold."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(key), []
+    inner = c.map_arrow
+
+    def watched(df, schema, each):
+        seen.append(df.sparkSession.conf.get(key))
+        return inner(df, schema, each)
+
+    monkeypatch.setattr(c, "map_arrow", watched)
+    docs = as_docs(spark, list(enumerate(variants(3, 60, 400, 4))))
+    c.without_near_duplicates(docs)
+    assert check(docs) > 50
+    assert set(seen) == {"4m"} and spark.conf.get(key) == before

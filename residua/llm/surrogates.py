@@ -487,7 +487,9 @@ def without_personal_data(docs: DataFrame, key: bytes, n_entities: str | None =
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
     mine = docs.where(flag).select(whole, k.alias("_k"), tag.alias("_tag"))
     other = per_text.select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), F.col("names").alias("_names"))
-    met = mine.join(other, ["_k", "_tag"])
+    # Merged, also where few texts have mentions: a broadcast join would put the flag and the
+    # replacement into one stage, and each task would hold two Python processes.
+    met = mine.join(other.hint("merge"), ["_k", "_tag"])
     new = F.arrow_udf(_replaced, "string")(F.col("row.text").cast("string"), F.col("_names.kind"), F.col("_names.value"), F.col("_names.surrogate"))
     count = [] if n_entities is None else [F.size("_names").cast("bigint").alias(n_entities)]
     none = [] if n_entities is None else [F.lit(0).cast("bigint").alias(n_entities)]

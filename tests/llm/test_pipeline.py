@@ -51,3 +51,24 @@ def test_rows_that_repeat(spark):
     docs = as_docs(spark, [*edge_texts(), *edge_texts()])
     kept = bag(p.near_duplicates(spark, docs, SF).select("doc_id", "text"))
     assert len([r for r in kept if r[0] is not None and shingle_set(r[1])]) == len({r for r in kept if r[0] is not None and shingle_set(r[1])})
+
+
+def test_stages_hand_little_to_few_processes(spark, documents, conf, plan):
+    """Batches are small when a stage's rows are computed, and no task has two Python steps."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for name, stage in p.STAGES:
+        conf(key, "64m")
+        out = stage(spark, documents, SF)
+        assert spark.conf.get(key) == "4m", name
+        # The first plan, top down: between two Python steps of a branch lies an exchange.
+        python = {}
+        for line in plan(out).split("Initial Plan")[0].splitlines():
+            depth = len(line) - len(line.lstrip(" :+-"))
+            python = {d: found for d, found in python.items() if d < depth}
+            above = python[max(python)] if python else False
+            if "Exchange" in line:
+                above = False
+            elif "ArrowEvalPython" in line or "MapInArrow" in line:
+                assert not above, (name, line)
+                above = True
+            python[depth] = above

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from oracle import compare, connect
+from pyspark.sql import functions as F
 from samples import SF, as_docs, bag, prose
 
 from residua.llm import transforms as t
@@ -93,6 +94,34 @@ def test_partitions_and_strips_do_not_matter(spark, monkeypatch):
     assert starts() == whole
 
 
+def test_hot_anchor_is_split(spark, conf, monkeypatch):
+    # One line stands many times in many texts, so most spans have one of its few anchors.
+    rng = random.Random(4)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+
+    rows = [(i, "".join("The one line of them all. " + noise(rng.randrange(9) // 8) for _ in range(40)) + noise(40)) for i in range(80)]
+    most = {}
+
+    def stored(session, df, name):
+        out = real(session, df, name)
+        per_task = [r[1] for r in out.groupBy(F.input_file_name()).count().collect()] if name == "byte-hits" else []
+        most[name] = (max(per_task, default=0), sum(per_task))
+        return out
+
+    real = t.stored
+    monkeypatch.setattr(t, "stored", stored)
+    for key, value in {
+        "autoBroadcastJoinThreshold": "-1", "adaptive.advisoryPartitionSizeInBytes": "4k", "adaptive.coalescePartitions.enabled": "false",
+        "adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }.items():
+        conf(f"spark.sql.{key}", value)
+    check(as_docs(spark, rows), t.Settings(window=24, symbol=4, gram=8, group=20))
+    largest, total = most["byte-hits"]
+    assert total > 2000 and largest < 0.25 * total
+
+
 def test_without_repeated_bytes_keeps_rows_and_columns(spark):
     docs = as_docs(spark, samples())
     out = t.without_repeated_bytes(docs, SMALL)
